@@ -82,17 +82,17 @@ def oracle_sql() -> dict[str, str]:
             WITH words AS (
                 SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
             ), windows AS (
-                SELECT doc_id, at, array_to_string(w[at : at + 49], ' ') AS win
-                FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS at FROM words WHERE len(w) >= 50)
+                SELECT doc_id, pos, array_to_string(w[pos : pos + 49], ' ') AS win
+                FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS pos FROM words WHERE len(w) >= 50)
             ), first AS (SELECT md5_number(win) AS h, min(doc_id) AS least FROM windows GROUP BY ALL),
             bad AS (
-                SELECT doc_id, at FROM windows JOIN first ON md5_number(win) = h WHERE doc_id > least
+                SELECT doc_id, pos FROM windows JOIN first ON md5_number(win) = h WHERE doc_id > least
             ), gone AS (
-                SELECT DISTINCT doc_id, unnest(generate_series(at, at + 49)) AS at FROM bad
-            ), gone_lists AS (SELECT doc_id, list(at) AS g, count(*) AS n FROM gone GROUP BY doc_id),
+                SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 49)) AS pos FROM bad
+            ), gone_lists AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
             kept AS (
-                SELECT doc_id, string_agg(x, ' ' ORDER BY at) AS k
-                FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS at FROM words WHERE len(w) > 0) ANTI JOIN gone USING (doc_id, at)
+                SELECT doc_id, string_agg(x, ' ' ORDER BY pos) AS k
+                FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS pos FROM words WHERE len(w) > 0) ANTI JOIN gone USING (doc_id, pos)
                 GROUP BY doc_id
             )
             SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
