@@ -27,7 +27,8 @@ from ._common import pick
 
 TOKENIZER = "word_bpe_49k.json"
 #: Entries of a worker's memos; the older half is dropped when they are full, so memory stays bounded.
-MEMO = 400_000
+MEMO = 300_000
+MEMO_FRAGMENTS = 20_000
 #: Longer words aren't remembered.
 MEMO_WORD = 64
 _END = 0x10000  # of a private plane: the character that stands for "this one, at a word's end"
@@ -107,7 +108,7 @@ class ForcedBoundaryBPE:
         """Encode words not seen before: their distinct new fragments in one call."""
         words = list(missing)
         pieces, counts = self.split_words(words)
-        if len(self.fragments) > MEMO:
+        if len(self.fragments) > MEMO_FRAGMENTS:
             self.fragments = {}
         known, tokens = self.fragments, self.tokens
         new = list({f for f in pieces if f not in known})
@@ -135,7 +136,7 @@ class ForcedBoundaryBPE:
     def look_up(self, words: list[list[str]]) -> list[list[tuple[bytes, str, str]]]:
         """For each word of each list its ids as bytes, as decimal text, and decoded."""
         memo = self.words
-        missing = {w for ws in words for w in ws if w not in memo}
+        missing = {w for w in set().union(*words) if w not in memo}
         long = []
         if missing:
             old = self.older
@@ -145,7 +146,7 @@ class ForcedBoundaryBPE:
             if missing:
                 memo.update(self.learn(missing))
                 long = [w for w in missing if len(w) > MEMO_WORD]
-        out = [[memo[w] for w in ws] for ws in words]
+        out = [list(map(memo.__getitem__, ws)) for ws in words]
         for w in long:
             del memo[w]
         if len(memo) > MEMO // 2:  # words not met again in this generation are forgotten
@@ -198,7 +199,7 @@ def encoder(path: str, full: bool = True) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(path, full)
 
 
-def encoded(bpe: ForcedBoundaryBPE, texts: pa.Array, chars: int = 1 << 20) -> Iterator[list[tuple[bytes, str, str]]]:
+def encoded(bpe: ForcedBoundaryBPE, texts: pa.Array, chars: int = 1 << 19) -> Iterator[list[tuple[bytes, str, str]]]:
     """Encode a column, about so many bytes of text at a time."""
     chunk, size = [], 0
     for text in texts:
