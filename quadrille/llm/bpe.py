@@ -1,8 +1,8 @@
 """BPE encoding and decoding by forced-boundary splitting.
 
 A pair of adjacent characters that occurs inside no vocabulary token can never be merged, so it marks a certain cut.
-Pre-tokens are cut there, the fragments are encoded independently of each other (each distinct one once, and kept in a
-bounded memo) and the ids concatenated. The vocabulary's end-of-word marker is folded into the last character of a
+Pre-tokens are cut there, the fragments are encoded independently of each other and the ids concatenated; whole words'
+ids are kept in a bounded memo. The vocabulary's end-of-word marker is folded into the last character of a
 pre-token, so a fragment needs no knowledge of its neighbours.
 
 Null and empty texts have no ids and decode to the empty string. Texts of any length are encoded whole.
@@ -21,14 +21,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer, models
 
 from ._common import pick
 
 TOKENIZER = "word_bpe_49k.json"
 #: Entries of a worker's memos; the older half is dropped when they are full, so memory stays bounded.
-MEMO = 300_000
-MEMO_FRAGMENTS = 20_000
+MEMO = 400_000
 #: Longer words aren't remembered.
 MEMO_WORD = 64
 _END = 0x10000  # of a private plane: the character that stands for "this one, at a word's end"
@@ -40,6 +38,86 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class PairTable:
+    """Rank and product of each mergeable pair of ids, as two hash tables without collisions: the second has the few pairs
+    whose place in the first is taken."""
+
+    BITS = 19
+    NONE = np.int64(1) << 40
+
+    def __init__(self, merges: list[tuple[int, int, int]]):
+        a, b, made = (np.array(x, dtype=np.uint64) for x in zip(*merges))
+        keys, ranks = a << np.uint64(32) | b, np.arange(len(made))
+        self.tables = []
+        factor = 0x9E3779B97F4A7C15
+        while len(keys):
+            slot = self._slot(keys, factor)
+            _, first = np.unique(slot, return_index=True)
+            key, value = np.full(1 << self.BITS, (1 << 64) - 1, dtype=np.uint64), np.full(1 << self.BITS, self.NONE << 20)
+            key[slot[first]], value[slot[first]] = keys[first], ranks[first] << 20 | made[first].astype(np.int64)
+            self.tables.append((np.uint64(factor), key, value))
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, ranks, made = keys[rest], ranks[rest], made[rest]
+            factor = (factor * 0xD1342543DE82EF95 + 2) & (1 << 64) - 1 | 1
+
+    def _slot(self, keys: np.ndarray, factor: int) -> np.ndarray:
+        return (keys * np.uint64(factor) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and product in one number, rank above; NONE's for pairs that don't merge."""
+        keys = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        out = np.full(len(keys), self.NONE << 20)
+        for factor, key, value in self.tables:
+            slot = self._slot(keys, factor)
+            hit = key[slot] == keys
+            out[hit] = value[slot[hit]]
+        return out
+
+
+def merge(symbols: np.ndarray, fragment: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """Merge each fragment's pair of least rank, leftmost first, one a round in every fragment that has any; (ids, the
+    place of each one's first character)."""
+    at = np.arange(len(symbols))
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    none = table.NONE << 20
+    value = np.full(len(symbols), none)  # of the pair that begins here
+    if len(symbols) > 1:
+        near = fragment[1:] == fragment[:-1]
+        value[:-1][near] = table.look_up(symbols[:-1][near], symbols[1:][near])
+    while len(symbols):
+        starts = np.flatnonzero(np.append(True, fragment[1:] != fragment[:-1]))
+        sizes = np.diff(np.append(starts, len(symbols)))
+        least = np.minimum.reduceat(value, starts)
+        busy = least < none
+        if not busy.all():
+            rest = np.repeat(~busy, sizes)
+            done.append((symbols[rest], at[rest]))
+            go = ~rest
+            symbols, fragment, at, value = symbols[go], fragment[go], at[go], value[go]
+            sizes, least = sizes[busy], least[busy]
+            if not len(symbols):
+                break
+        hit = np.flatnonzero(value == np.repeat(least, sizes))
+        hit = hit[np.append(True, fragment[hit][1:] != fragment[hit][:-1])]
+        symbols[hit] = value[hit] & (1 << 20) - 1
+        keep = np.ones(len(symbols), dtype=bool)
+        keep[hit + 1] = False
+        place = hit - np.arange(len(hit))
+        symbols, fragment, at, value = symbols[keep], fragment[keep], at[keep], value[keep]
+        n = len(symbols)
+        value[place] = none
+        for k in (place, place - 1):  # the pairs that the new symbol is in
+            k = k[(k >= 0) & (k < n - 1)]
+            k = k[fragment[k] == fragment[k + 1]]
+            value[k] = table.look_up(symbols[k], symbols[k + 1])
+    if not done:
+        return symbols, at
+    symbols, at = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+    order = np.argsort(at)
+    return symbols[order], at[order]
+
+
 class ForcedBoundaryBPE:
     """Encoder for a word-end BPE file of the tokenizers library (lower-casing, blanks dropped)."""
 
@@ -55,16 +133,20 @@ class ForcedBoundaryBPE:
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] + r"|\n")
         self.tokens = {i: t for t, i in (model["vocab"] | self.added).items()}
         folded = {t: self._fold(t) for t in model["vocab"]}
-        merges = [(folded[a] if a in folded else self._fold(a), self._fold(b)) for a, b in model["merges"]]
-        self.bpe = Tokenizer(models.BPE({folded[t]: i for t, i in model["vocab"].items()}, merges))
+        part = lambda t: folded[t] if t in folded else self._fold(t)
+        ids = {folded[t]: i for t, i in model["vocab"].items()}
+        pairs = [(part(a), part(b)) for a, b in model["merges"]]
+        self.tables = PairTable([(ids[a], ids[b], ids[a + b]) for a, b in pairs if a in ids and b in ids])
         self.glyphs = np.array([ord(g) for g in self._byte_glyphs()], dtype=np.uint32)
         self.inside = np.zeros(1 << 20, dtype=bool)  # of pairs that some token has inside
+        self.first_ids = np.zeros(1 << 10, dtype=np.int64)
         for t in folded.values():
             c = self._small(np.array([ord(g) for g in t], dtype=np.uint32))
             self.inside[c[:-1] << 10 | c[1:]] = True
+            if len(t) == 1:
+                self.first_ids[c[0]] = ids[t]
         self.words: dict[str, tuple[bytes, str, str]] = {}
         self.older: dict[str, tuple[bytes, str, str]] = {}
-        self.fragments: dict[str, tuple[bytes, str, str]] = {}
 
     def _fold(self, token: str) -> str:
         if token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -84,8 +166,8 @@ class ForcedBoundaryBPE:
         """Glyphs lie below 0x200, at a word's end 0x10000 higher: ten bits."""
         return codes & 0x1FF | codes >> 16 << 9
 
-    def split_words(self, words: list[str]) -> tuple[list[str], list[int]]:
-        """All fragments between forced boundaries of runs without blanks, and how many each run has."""
+    def split_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of runs without blanks: the characters' ids, the fragment between forced boundaries and the run that each is in."""
         joined = "\n".join(words)
         if not joined.isascii():
             joined = unicodedata.normalize("NFC", joined).replace("Σ", "σ")  # str.lower() knows a final sigma, the library doesn't
@@ -97,41 +179,20 @@ class ForcedBoundaryBPE:
         small = self._small(codes)
         begin = ~gap
         begin[1:] &= gap[:-1] | ~self.inside[small[:-1] << 10 | small[1:]]
-        starts = np.flatnonzero(begin)
-        shut = ~gap
-        shut[:-1] &= gap[1:] | begin[1:]
-        text = codes.tobytes().decode("utf-32-le")
-        counts = np.bincount(np.cumsum(line)[starts], minlength=len(words))
-        return [text[i:j] for i, j in zip(starts.tolist(), (np.flatnonzero(shut) + 1).tolist())], counts.tolist()
-
-    def learn(self, missing: set[str]) -> dict[str, tuple[bytes, str, str]]:
-        """Encode words not seen before: their distinct new fragments in one call."""
-        words = list(missing)
-        pieces, counts = self.split_words(words)
-        if len(self.fragments) > MEMO_FRAGMENTS:
-            self.fragments = {}
-        known, tokens = self.fragments, self.tokens
-        new = list({f for f in pieces if f not in known})
-        if new:
-            encoded = self.bpe.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ends = np.cumsum(np.bincount(np.array(encoded.word_ids, dtype=np.int64), minlength=len(new))).tolist()
-            ids, raw = encoded.ids, array("I", encoded.ids).tobytes()
-            if self.full:
-                decimal, shown = list(map(str, ids)), [tokens[i] for i in ids]
-                known.update((f, (raw[4 * i : 4 * j], " ".join(decimal[i:j]), " ".join(shown[i:j]))) for f, i, j in zip(new, [0, *ends], ends))
-            else:
-                known.update((f, raw[4 * i : 4 * j]) for f, i, j in zip(new, [0, *ends], ends))
-        out, at = {}, 0
-        for w, n in zip(words, counts):
-            if n == 1:
-                out[w] = known[pieces[at]]
-            elif self.full:
-                a, b, c = zip(*[known[f] for f in pieces[at : at + n]])
-                out[w] = (b"".join(a), " ".join(b), " ".join(c))
-            else:
-                out[w] = b"".join([known[f] for f in pieces[at : at + n]])
-            at += n
-        return out
+        there = ~gap
+        return self.first_ids[small[there]], np.cumsum(begin)[there] - 1, np.cumsum(line)[there]
+
+    def learn(self, words: list[str]) -> Iterator[tuple[bytes, str, str]] | list[bytes]:
+        """Encode distinct words, all their fragments side by side."""
+        symbols, fragment, word = self.split_words(words)
+        symbols, at = merge(symbols, fragment, self.tables)
+        ends = np.searchsorted(word[at], np.arange(len(words) + 1)).tolist()
+        raw = symbols.astype(np.uint32).tobytes()
+        if not self.full:
+            return [raw[4 * i : 4 * j] for i, j in zip(ends, ends[1:])]
+        ids = symbols.tolist()
+        decimal, shown = list(map(str, ids)), list(map(self.tokens.__getitem__, ids))
+        return ((raw[4 * i : 4 * j], " ".join(decimal[i:j]), " ".join(shown[i:j])) for i, j in zip(ends, ends[1:]))
 
     def look_up(self, words: list[list[str]]) -> list[list[tuple[bytes, str, str]]]:
         """For each word of each list its ids as bytes, as decimal text, and decoded."""
@@ -144,8 +205,9 @@ class ForcedBoundaryBPE:
             missing.difference_update(found)
             memo.update(found)
             if missing:
-                memo.update(self.learn(missing))
-                long = [w for w in missing if len(w) > MEMO_WORD]
+                new = list(missing)
+                memo.update(zip(new, self.learn(new)))
+                long = [w for w in new if len(w) > MEMO_WORD]
         out = [list(map(memo.__getitem__, ws)) for ws in words]
         for w in long:
             del memo[w]
@@ -199,7 +261,7 @@ def encoder(path: str, full: bool = True) -> ForcedBoundaryBPE:
     return ForcedBoundaryBPE(path, full)
 
 
-def encoded(bpe: ForcedBoundaryBPE, texts: pa.Array, chars: int = 1 << 19) -> Iterator[list[tuple[bytes, str, str]]]:
+def encoded(bpe: ForcedBoundaryBPE, texts: pa.Array, chars: int = 1 << 17) -> Iterator[list[tuple[bytes, str, str]]]:
     """Encode a column, about so many bytes of text at a time."""
     chunk, size = [], 0
     for text in texts:
