@@ -23,6 +23,8 @@ from ._common import materialise, new_path
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files of records taken in by a micro-batch.
 FILES_PER_BATCH = 4096
+#: Repeated digests that are broadcast, at most: 16 bytes each in the tasks' hash table.
+MOST_BROADCAST = 1_000_000
 
 
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -52,7 +54,7 @@ def group_table(table: DataFrame, path: str, files_per_batch: int = FILES_PER_BA
     spark = table.sparkSession
     out = new_path(spark, "dedup-groups")
     spark.createDataFrame([], groups_of(table).schema).withColumn("batch", F.lit(0).cast("long")).write.parquet(out)
-    with _settings(spark, **{"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}):
+    with _settings(spark, **{"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}):
         stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
         write = lambda batch, k: batch.withColumn("batch", F.lit(k).cast("long")).write.mode("append").parquet(out)
         query = groups_of(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", new_path(spark, "dedup-state")).trigger(availableNow=True).start()
@@ -88,9 +90,15 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
 
 
 def clashing(df: DataFrame, repeated: DataFrame, text_col: str) -> DataFrame:
-    """Digests whose rows' bytes differ: the check on every hit."""
+    """Digests whose rows' bytes differ: the check on every hit.
+
+    Up to MOST_BROADCAST repeated digests (8 bytes each) are sent to the tasks, so that only hits' texts move; beyond
+    that the texts are joined with them by a shuffle. A chance hit of the short hash only adds a row to the comparison.
+    """
     text = F.coalesce(df[f"`{text_col}`"], F.lit(""))
-    rows = df.select(F.sha2(text, 256).alias("digest"), text.alias("text")).join(repeated.select("digest"), "digest", "left_semi")
+    rows = df.select(F.sha2(text, 256).alias("digest"), text.alias("text")).withColumn("short", F.xxhash64("digest"))
+    short = repeated.select(F.xxhash64("digest").alias("short"))
+    rows = rows.join(F.broadcast(short) if repeated.count() <= MOST_BROADCAST else short, "short", "left_semi")
     return rows.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
 
 
