@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -22,8 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
-
 #: Share of a host's pages with the same text in the same place that makes it template, and pages that it takes.
 CONSTANT, LEAST_PAGES = 0.6, 4
 #: Parts that a host with over a hundredth of the pages is dealt out to.
@@ -272,29 +271,46 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     seeds = rows.where("html != ''").groupBy("host").agg(F.min_by("html", F.struct(F.col("page_id").isNull(), "page_id", F.xxhash64("html"))).alias("seed"))
     joined = spread(rows, dealt).join(spread(seeds, each), ["host", "salt"], "left")
 
-    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # the same columns in the same order for both passes, so that the second takes up the first's shuffle
+    given = joined.select("host", "salt", "page_id", "url", "html", "seed")
+
+    def kept(host: str, page: str, seed: str | None, parsed: dict) -> tuple[list[str], list[int]]:
+        """Texts of a page's article, and the seed's block that each repeats."""
+        tree = parse(page)
+        if seed is None or seed == page:
+            twin = [SEED] * len(tree[1])
+        else:
+            if host not in parsed:
+                if len(parsed) >= SEEDS:
+                    parsed.clear()
+                parsed[host] = parse(seed)
+            twin = align(parsed[host], tree)
+        keep = [k for k, yes in enumerate(article(tree[1])) if yes]
+        return [tree[1][k].text for k in keep], [twin[k] for k in keep]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parsed: dict[str, tuple[Node, list[Block]]] = {}
         for batch in batches:
-            texts, twins = [], []
-            for host, page, seed in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3)]):
-                tree = parse(page)
-                if seed is not None and seed != page and host not in parsed:
-                    if len(parsed) >= SEEDS:
-                        parsed.clear()
-                    parsed[host] = parse(seed)
-                twin = [SEED] * len(tree[1]) if seed is None or seed == page else align(parsed[host], tree)
-                keep = [k for k, yes in enumerate(article(tree[1])) if yes]
-                texts.append([tree[1][k].text for k in keep])
-                twins.append([twin[k] for k in keep])
-            yield pa.RecordBatch.from_arrays([batch.column(4), batch.column(1), batch.column(0), pa.array(texts, pa.list_(pa.string())), pa.array(twins, pa.list_(pa.int32())), batch.column(5)], names=["page_id", "url", "host", "texts", "twins", "salt"])
-
-    blocks = materialise(joined.select("host", "url", "html", "seed", "page_id", "salt").mapInArrow(aligned, f"page_id {kind}, url string, host string, texts array<string>, twins array<int>, salt int"), "html-blocks")
+            found: Counter = Counter()
+            for host, page, seed in zip(*[batch.column(k).to_pylist() for k in (0, 4, 5)]):
+                twins = kept(host, page, seed, parsed)[1]
+                if seed is not None and seed != page:
+                    found.update((host, t) for t in {-1, *twins})  # -1 stands for the page itself
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int64())], names=["host", "twin", "n"])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parsed: dict[str, tuple[Node, list[Block]]] = {}
+        for batch in batches:
+            texts = []
+            for host, page, seed, template in zip(*[batch.column(k).to_pylist() for k in (0, 4, 5, 6)]):
+                blocks, twins = kept(host, page, seed, parsed)
+                texts.append("\n".join([b for b, t in zip(blocks, twins) if not template or t not in template]))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
     # pages on which a block of the seed stands again, against the host's pages that differ from the seed
-    differing = F.coalesce(F.get("twins", F.lit(0)) != SEED, F.lit(False))
-    again = blocks.where(differing).select("host", F.explode(F.array_distinct("twins")).alias("twin")).where("twin >= 0").groupBy("host", "twin").agg(F.count("*").alias("same"))
-    most = blocks.where(differing).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    wrapper = again.join(most, "host").where(F.col("same") >= CONSTANT * F.col("n")).groupBy("host").agg(F.collect_list("twin").alias("template"))  # at most the seed's blocks
-    found = blocks.join(spread(wrapper, each), ["host", "salt"], "left")
-    content = F.filter(F.arrays_zip("texts", "twins"), lambda x: ~F.array_contains(F.coalesce("template", F.array().cast("array<int>")), x["twins"]))
-    text = F.array_join(F.transform(content, lambda x: x["texts"]), "\n")
-    return found.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    again = given.mapInArrow(count, "host string, twin int, n long").groupBy("host", "twin").agg(F.sum("n").alias("same"))
+    by_host = again.groupBy("host").agg(F.max(F.when(F.col("twin") == -1, F.col("same"))).alias("pages"), F.collect_list(F.when(F.col("twin") >= 0, F.struct("twin", "same"))).alias("blocks"))  # at most the seed's blocks
+    constant = F.transform(F.filter("blocks", lambda b: b["same"] >= CONSTANT * F.col("pages")), lambda b: b["twin"])
+    wrapper = by_host.where(F.col("pages") >= LEAST_PAGES).select("host", constant.alias("template")).where(F.size("template") > 0)
+    found = given.join(spread(wrapper, each), ["host", "salt"], "left").select("host", "salt", "page_id", "url", "html", "seed", "template")
+    return found.mapInArrow(finish, f"page_id {kind}, url string, text string, n_chars long")
