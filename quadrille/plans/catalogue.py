@@ -1,17 +1,253 @@
-"""Queries over the driver's tables, with equivalent SQL."""
+"""Queries over the driver's tables lifted to terms and triples, each with SQL that says the same."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-FLAGSHIP = "star_pattern"
+from ..functions import aggregates as A
+from ..functions import compare as C
+from ..functions import strings as S
+from ..functions import terms as T
+from ..operators import lift as L
+from ..operators import patterns as P
+from ..operators import relational as R
+from ..operators import update as U
+
+FLAGSHIP = "sum_by_flag"
+X = T.XSD
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql.replace("{X}", X).replace("{B}", L.BASE)
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "lineitem")
+    return t.select(L.node("lineitem", F.col("l_orderkey"), F.col("l_linenumber")).alias("s"), L.text(F.col("l_returnflag")).alias("flag"), L.text(F.col("l_linestatus")).alias("status"), L.integer(F.col("l_quantity")).alias("qty"), L.decimal(F.col("l_discount")).alias("discount"), L.date(F.col("l_shipdate")).alias("shipped"), L.date_time(F.col("l_shipdate")).alias("ship_time"))
+
+
+def customer_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return L.triples(c, L.node("customer", F.col("c_custkey")), name=L.text(F.col("c_name")), nation=L.node("nation", F.col("c_nationkey")))
+
+
+def nation_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation")
+    return L.triples(n, L.node("nation", F.col("n_nationkey")), label=L.text(F.col("n_name")), region=L.node("region", F.col("n_regionkey")))
+
+
+def order_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return L.triples(o, L.node("order", F.col("o_orderkey")), customer=L.node("customer", F.col("o_custkey")), ordered=L.date_time(F.col("o_orderdate")), priority=L.text(F.col("o_orderpriority")))
+
+
+@query("""SELECT '"' || l_returnflag || '"' AS flag, '"' || CAST(sum(CAST(l_quantity AS BIGINT)) AS VARCHAR) || '"^^<{X}integer>' AS total FROM lineitem GROUP BY l_returnflag""")
+def sum_by_flag(spark, sf_dir):
+    return lineitems(spark, sf_dir).groupBy("flag").agg(A.rdf_sum("qty").alias("total"))
+
+
+@query("""SELECT '"' || l_returnflag || '"' AS flag, '"' || CAST(sum(CAST(l_discount AS DECIMAL(20,2))) AS VARCHAR) || '"^^<{X}decimal>' AS total FROM lineitem GROUP BY l_returnflag""")
+def sum_decimals(spark, sf_dir):
+    return lineitems(spark, sf_dir).groupBy("flag").agg(A.rdf_sum("discount").alias("total"))
+
+
+@query("""SELECT flag, '"' || CAST(s // n AS VARCHAR) || '.' || CASE WHEN s % n = 0 THEN '0' ELSE lpad(CAST((CAST(s % n AS HUGEINT) * 20000000000000000 + n) // (2 * n) AS VARCHAR), 16, '0') END || '"^^<{X}decimal>' AS mean FROM (SELECT '"' || l_returnflag || '"' AS flag, CAST(sum(CAST(l_quantity AS BIGINT)) AS HUGEINT) AS s, count(*) AS n FROM lineitem GROUP BY l_returnflag)""")
+def avg_by_flag(spark, sf_dir):
+    return lineitems(spark, sf_dir).groupBy("flag").agg(A.rdf_avg("qty").alias("mean"))
+
+
+@query("""SELECT '"' || l_returnflag || '"' AS flag, '"' || CAST(min(CAST(l_quantity AS BIGINT)) AS VARCHAR) || '"^^<{X}integer>' AS least, '"' || CAST(max(CAST(l_quantity AS BIGINT)) AS VARCHAR) || '"^^<{X}integer>' AS most, '"' || strftime(max(l_shipdate), '%Y-%m-%d') || '"^^<{X}date>' AS latest, count(*) AS n FROM lineitem GROUP BY l_returnflag""")
+def min_max_by_flag(spark, sf_dir):
+    return lineitems(spark, sf_dir).groupBy("flag").agg(A.rdf_min("qty").alias("least"), A.rdf_max("qty").alias("most"), A.rdf_max("shipped").alias("latest"), F.count("*").alias("n"))
+
+
+@query("""SELECT '<{B}region/' || r_regionkey || '>' AS region, '"' || string_agg(n_name, ', ' ORDER BY n_name) || '"' AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_regionkey""")
+def group_concat(spark, sf_dir):
+    rows = P.bgp(nation_triples(spark, sf_dir), ("?n", L.predicate("region"), "?region"), ("?n", L.predicate("label"), "?name"))
+    return rows.groupBy("region").agg(A.rdf_group_concat("name", ", ").alias("nations"))
+
+
+@query("""SELECT count(*) AS n, count(DISTINCT CAST(l_quantity AS BIGINT)) AS n_values FROM lineitem""")
+def count_distinct(spark, sf_dir):
+    return lineitems(spark, sf_dir).agg(F.count("qty").alias("n"), F.countDistinct(C.group_key("qty")).alias("n_values"))
+
+
+@query("""SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s, '"' || CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey) AS VARCHAR) || '"^^<{X}integer>' AS total, rank() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS place FROM lineitem""")
+def window_sum(spark, sf_dir):
+    t = table(spark, sf_dir, "lineitem").withColumn("qty", L.integer(F.col("l_quantity")))
+    w = Window.partitionBy("l_orderkey")
+    return t.select(L.node("lineitem", F.col("l_orderkey"), F.col("l_linenumber")).alias("s"), A.rdf_sum("qty", w).alias("total"), F.rank().over(w.orderBy("l_linenumber")).cast("long").alias("place"))
+
+
+@query("""SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s FROM lineitem WHERE CAST(l_quantity AS BIGINT) >= 45 AND CAST(l_discount AS DECIMAL(20,2)) < 0.03 AND strftime(l_shipdate, '%Y-%m-%d') > '1996-06-30'""")
+def filter_by_value(spark, sf_dir):
+    return lineitems(spark, sf_dir).where(C.term_ge("qty", F.lit(f'"45.0"^^<{X}decimal>')) & C.term_lt("discount", F.lit(f'"0.03"^^<{X}decimal>')) & C.term_gt("shipped", F.lit(f'"1996-06-30"^^<{X}date>'))).select("s")
+
+
+@query("""SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s FROM lineitem WHERE CAST(l_quantity AS BIGINT) IN (1, 7, 50)""")
+def filter_in(spark, sf_dir):
+    return lineitems(spark, sf_dir).where(C.term_in("qty", F.lit(f'"01"^^<{X}int>'), F.lit(f'"7.0"^^<{X}decimal>'), F.lit(f'"5E1"^^<{X}double>'))).select("s")
+
+
+@query("""SELECT '<{B}part/' || p_partkey || '>' AS part, '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS item FROM part JOIN lineitem ON p_size = CAST(l_quantity AS BIGINT) WHERE p_partkey <= 5""")
+def value_join(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").where("p_partkey <= 5").select(L.node("part", F.col("p_partkey")).alias("part"), C.from_native(F.col("p_size"), "int").alias("size"))
+    items = lineitems(spark, sf_dir).select(F.col("s").alias("item"), "qty")
+    return R.value_join(parts, items, "size", "qty").select("part", "item")
+
+
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+def anti_join(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"))
+    return R.value_not_in(c, "s", table(spark, sf_dir, "orders").select(L.node("customer", F.col("o_custkey")).alias("c")), "c")
+
+
+@query("""SELECT DISTINCT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')""")
+def semi_join(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"))
+    urgent = P.bgp(order_triples(spark, sf_dir), ("?o", L.predicate("customer"), "?c"), ("?o", L.predicate("priority"), "?p")).where(T.lex("p").like("1%"))
+    return R.value_in(c, "s", urgent, "c")
+
+
+@query("""SELECT '"' || c_name || '"' AS name, '"' || n_name || '"' AS label FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def basic_pattern(spark, sf_dir):
+    people = P.bgp(customer_triples(spark, sf_dir), ("?c", L.predicate("name"), "?name"), ("?c", L.predicate("nation"), "?n"))
+    return P.join(people, P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?label")).select("name", "label")
+
+
+@query("""SELECT '<{B}order/' || o_orderkey || '>' AS s, '<{B}customer/' || o_custkey || '>' AS customer, '"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"^^<{X}dateTime>' AS ordered, '"' || o_orderpriority || '"' AS priority FROM orders""")
+def star_pattern(spark, sf_dir):
+    return P.star(order_triples(spark, sf_dir), customer=L.predicate("customer"), ordered=L.predicate("ordered"), priority=L.predicate("priority"))
+
+
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS c, '"' || c_name || '"' AS name, '<{B}order/' || o_orderkey || '>' AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
+def optional_pattern(spark, sf_dir):
+    names = P.match(customer_triples(spark, sf_dir), "?c", L.predicate("name"), "?name")
+    return P.optional(names, P.match(order_triples(spark, sf_dir), "?o", L.predicate("customer"), "?c")).select("c", "name", "o")
+
+
+@query("""SELECT '"' || c_name || '"' AS name FROM customer UNION ALL SELECT '"' || n_name || '"' FROM nation""")
+def union_pattern(spark, sf_dir):
+    return P.union(P.match(customer_triples(spark, sf_dir), "?x", L.predicate("name"), "?name"), P.match(nation_triples(spark, sf_dir), "?x", L.predicate("label"), "?name")).select("name")
+
+
+@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS n FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 40)""")
+def minus_pattern(spark, sf_dir):
+    few = table(spark, sf_dir, "customer").where("c_custkey <= 40").select(L.node("nation", F.col("c_nationkey")).alias("n"))
+    return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), few)
+
+
+@query("""SELECT '<{B}customer/7>' AS subject, '<{B}p/' || p || '>' AS predicate, o AS object FROM (SELECT 'name' AS p, '"' || c_name || '"' AS o FROM customer WHERE c_custkey = 7 UNION ALL SELECT 'nation', '<{B}nation/' || c_nationkey || '>' FROM customer WHERE c_custkey = 7)""")
+def describe(spark, sf_dir):
+    return P.describe(customer_triples(spark, sf_dir), f"<{L.BASE}customer/7>")
+
+
+@query("""SELECT '"' || c_name || '"' AS name, '"' || upper(c_name) || '"' AS up, '"' || lower(c_name) || '"' AS low, length(c_name) AS size, '"' || substr(c_name, 3, 5) || '"' AS part, CASE WHEN strpos(c_name, '#') > 0 THEN '"' || split_part(c_name, '#', 1) || '"' ELSE '""' END AS before, CASE WHEN strpos(c_name, '#') > 0 THEN '"' || substr(c_name, strpos(c_name, '#') + 1) || '"' ELSE '""' END AS after, starts_with(c_name, 'Cust') AS starts, ends_with(c_name, '9') AS ends, contains(c_name, '00') AS has, '"' || md5(c_name) || '"' AS digest, '"' || replace(c_name, '0', 'o') || '"' AS replaced FROM customer""")
+def string_functions(spark, sf_dir):
+    x = lambda t: F.lit(f'"{t}"')
+    c = table(spark, sf_dir, "customer").select(L.text(F.col("c_name")).alias("name"))
+    return c.select("name", S.ucase("name").alias("up"), S.lcase("name").alias("low"), S.strlen("name").cast("long").alias("size"), S.substr("name", 3, 5).alias("part"), S.strbefore("name", x("#")).alias("before"), S.strafter("name", x("#")).alias("after"), S.strstarts("name", x("Cust")).alias("starts"), S.strends("name", x("9")).alias("ends"), S.contains("name", x("00")).alias("has"), S.md5("name").alias("digest"), S.replace("name", "0", "o").alias("replaced"))
+
+
+@query("""SELECT '"' || left(text, 40) || '"@' || lang AS term, lang AS tag, lang = 'en' AS english, '"' || lang || '"' AS code, length(text) AS size FROM documents WHERE NOT contains(text, '"') AND NOT contains(text, chr(92))""")
+def language_tags(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").where("not contains(text, '\"') and not contains(text, '\\\\')")
+    t = d.select(L.tagged(F.left("text", F.lit(40)), F.col("lang")).alias("term"), F.char_length("text").cast("long").alias("size"))
+    return t.select("term", T.lang("term").alias("tag"), T.lang_matches(T.lang("term"), F.lit("en")).alias("english"), T.literal(T.lang("term")).alias("code"), "size")
+
+
+@query("""SELECT '<{B}order/' || o_orderkey || '>' AS s, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d, CAST(hour(o_orderdate) AS INTEGER) AS h, CAST(minute(o_orderdate) AS INTEGER) AS mi FROM orders""")
+def date_functions(spark, sf_dir):
+    t = P.match(order_triples(spark, sf_dir), "?s", L.predicate("ordered"), "?t")
+    return t.select("s", S.year("t").alias("y"), S.month("t").alias("m"), S.day("t").alias("d"), S.hours("t").alias("h"), S.minutes("t").alias("mi"))
+
+
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s, '"' || CAST(CAST(floor(v) AS BIGINT) AS VARCHAR) || '"^^<{X}decimal>' AS down, '"' || CAST(CAST(ceil(v) AS BIGINT) AS VARCHAR) || '"^^<{X}decimal>' AS up, '"' || CAST(CAST(floor(v + 0.5) AS BIGINT) AS VARCHAR) || '"^^<{X}decimal>' AS near FROM (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(20,2)) AS v FROM customer)""")
+def number_functions(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"), L.decimal(F.col("c_acctbal")).alias("v"))
+    return c.select("s", S.floor("v").alias("down"), S.ceil("v").alias("up"), S.round_("v").alias("near"))
+
+
+@query("""SELECT '<{B}page/' || page_id || '>' AS s, '<' || url || '>' AS u, '"' || url || '"' AS text, true AS iri, false AS blank, false AS lit FROM pages""")
+def term_functions(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select(L.node("page", F.col("page_id")).alias("s"), T.iri(L.text(F.col("url"))).alias("u"))
+    return p.select("s", "u", T.str_("u").alias("text"), T.is_iri("u").alias("iri"), T.is_blank("u").alias("blank"), T.is_literal("u").alias("lit"))
+
+
+@query("""SELECT CAST(l_quantity AS BIGINT) AS n, CAST(l_quantity AS DOUBLE) AS x, CAST(l_shipdate AS DATE) AS d, CAST(l_discount AS DECIMAL(20,2)) > 0.05 AS big FROM lineitem""")
+def casts(spark, sf_dir):
+    return lineitems(spark, sf_dir).select(C.to_native("qty", "bigint").alias("n"), C.to_native("qty", "double").alias("x"), C.to_native("shipped", "date").alias("d"), C.native_compare("discount", ">", F.lit("0.05").cast("decimal(3,2)"), "decimal").alias("big"))
+
+
+@query("""SELECT s, qty FROM (SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s, '"' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '"^^<{X}integer>' AS qty FROM lineitem) ORDER BY qty DESC, s LIMIT 25""")
+def top_k(spark, sf_dir):
+    return lineitems(spark, sf_dir).select("s", "qty").orderBy(F.col("qty").desc_nulls_first(), "s").limit(25)
+
+
+@query("""SELECT s FROM (SELECT '<{B}order/' || o_orderkey || '>' AS s FROM orders) ORDER BY s LIMIT 10 OFFSET 30""")
+def offset_limit(spark, sf_dir):
+    return R.page(R.ordered(P.match(order_triples(spark, sf_dir), "?s", L.predicate("priority"), "?p").select("s"), "s"), 10, 30)
+
+
+@query("""SELECT DISTINCT '"' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '"^^<{X}integer>' AS qty, '"' || l_returnflag || '"' AS flag FROM lineitem""")
+def distinct_values(spark, sf_dir):
+    return R.distinct_by_value(lineitems(spark, sf_dir).select("qty", "flag"))
+
+
+@query("""SELECT '<{B}order/' || o_orderkey || '>' AS o, '<{B}customer/' || o_custkey || '>' AS c FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS k FROM orders) WHERE k = 1""")
+def distinct_on(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return R.distinct_on(o, ["o_custkey"], F.desc("o_orderdate"), F.asc("o_orderkey")).select(L.node("order", F.col("o_orderkey")).alias("o"), L.node("customer", F.col("o_custkey")).alias("c"))
+
+
+@query("""(SELECT '<{B}nation/' || c_nationkey || '>' AS n FROM customer INTERSECT SELECT '<{B}nation/' || s_nationkey || '>' FROM supplier) EXCEPT SELECT '<{B}nation/3>'""")
+def set_operations(spark, sf_dir):
+    nation = lambda t, c: table(spark, sf_dir, t).select(L.node("nation", F.col(c)).alias("n"))
+    return nation("customer", "c_nationkey").intersect(nation("supplier", "s_nationkey")).subtract(spark.createDataFrame([(f"<{L.BASE}nation/3>",)], "n string"))
+
+
+@query("""SELECT coalesce('"' || l_returnflag || '"', 'all') AS flag, coalesce('"' || l_linestatus || '"', 'all') AS status, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
+def rollup(spark, sf_dir):
+    return lineitems(spark, sf_dir).rollup("flag", "status").agg(F.count("*").alias("n")).select(F.coalesce("flag", F.lit("all")).alias("flag"), F.coalesce("status", F.lit("all")).alias("status"), "n")
+
+
+@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS subject, '<{B}p/label>' AS predicate, '"' || CASE WHEN n_nationkey = 5 THEN 'renamed' ELSE n_name END || '"' AS object FROM nation WHERE n_nationkey <> 2 UNION ALL SELECT '<{B}nation/99>', '<{B}p/label>', '"NEW"'""")
+def insert_delete_update(spark, sf_dir):
+    labels = nation_triples(spark, sf_dir).where(F.col("predicate") == L.predicate("label"))
+    row = lambda k, o: spark.createDataFrame([(f"<{L.BASE}nation/{k}>", L.predicate("label"), o)], "subject string, predicate string, object string")
+    of = lambda k: labels.where(F.col("subject") == f"<{L.BASE}nation/{k}>")
+    return U.update(U.delete(U.insert(labels, row(99, '"NEW"')), of(2)), of(5), row(5, '"renamed"'))
+
+
+@query("""SELECT '"' || event_type || '"' AS kind, count(*) AS n, '"' || CAST(sum(CAST(value AS DECIMAL(20,2))) AS VARCHAR) || '"^^<{X}decimal>' AS total, '"' || strftime(max(ts), '%Y-%m-%dT%H:%M:%S') || '"^^<{X}dateTime>' AS latest FROM events GROUP BY event_type""")
+def events_by_type(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(L.text(F.col("event_type")).alias("kind"), L.decimal(F.col("value")).alias("value"), L.date_time(F.col("ts")).alias("at"))
+    return e.groupBy("kind").agg(F.count("*").alias("n"), A.rdf_sum("value").alias("total"), A.rdf_max("at").alias("latest"))
+
+
+@query()
+def fresh_identifiers(spark, sf_dir):
+    return table(spark, sf_dir, "region").select(L.node("region", F.col("r_regionkey")).alias("s"), T.uuid().alias("u"), T.struuid().alias("t"), T.bnode().alias("b"), S.rand().alias("r"), S.now().alias("now"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
