@@ -223,4 +223,6 @@ def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """Rows that the list keeps, with the columns they came with."""
     rules = learn(df, labels, id_col, text_col) if rules is None else rules
-    return with_statistics(df, text_col, "_q_s_").where(verdict(rules, "_q_s_")).select(*[F.col(f"`{c}`") for c in df.columns])
+    # the row number keeps the filter from being pushed below the statistics, which would compute them over and over
+    judged = with_statistics(df, text_col, "_q_s_").withColumns({"_q_keep": verdict(rules, "_q_s_"), "_q_row": F.monotonically_increasing_id()})
+    return judged.where("_q_keep and _q_row >= 0").select(*[F.col(f"`{c}`") for c in df.columns])
