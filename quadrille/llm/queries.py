@@ -80,7 +80,7 @@ def oracle_sql() -> dict[str, str]:
         """,
         "op9_substring_dedup": r"""
             WITH words AS (
-                SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
+                SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
             ), windows AS (
                 SELECT doc_id, pos, array_to_string(w[pos : pos + 49], ' ') AS win
                 FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS pos FROM words WHERE len(w) >= 50)
