@@ -13,7 +13,7 @@ NAMES = ["sum_by_flag", "avg_by_flag", "min_max_by_flag", "value_join", "star_pa
 
 def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
-    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", cpus).config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.master(f"local[{cpus}]").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", cpus).config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     took = {}
     for name in NAMES:

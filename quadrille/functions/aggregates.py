@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from .compare import EXACT, sort_struct
-from .terms import INTEGERS, Term, _col, dt, has_numeric_type, lex, literal, string_form, xsd
+from .terms import INTEGERS, Term, _col, has_numeric_type, has_type, lex, literal, string_form, xsd
 
 
 def _over(c: Column, over: WindowSpec | None) -> Column:
@@ -20,8 +20,9 @@ def _over(c: Column, over: WindowSpec | None) -> Column:
 def _parts(x: Term, over: WindowSpec | None) -> dict[str, Column]:
     x = _col(x)
     text = lex(x)
-    numeric = has_numeric_type(x) & text.try_cast("double").isNotNull()
-    rank = F.when(dt(x).isin(*map(xsd, INTEGERS)), 0).when(dt(x) == xsd("decimal"), 1).when(dt(x) == xsd("float"), 2).otherwise(3)
+    value = F.when(has_numeric_type(x), text.try_cast("double"))
+    numeric = value.isNotNull()
+    rank = F.when(has_type(x, *INTEGERS), 0).when(has_type(x, "decimal"), 1).when(has_type(x, "float"), 2).otherwise(3)
     whole = text.rlike(r"^[+-]?[0-9]+$")
     scale = F.char_length(F.regexp_extract(text, r"\.([0-9]*)", 1))
     run = lambda c: _over(c, over)
@@ -32,7 +33,7 @@ def _parts(x: Term, over: WindowSpec | None) -> dict[str, Column]:
         "scale": F.coalesce(run(F.max(F.when(numeric, scale))), F.lit(0)),
         "whole": F.coalesce(run(F.sum(F.when(numeric & whole, text.try_cast("decimal(38,0)")))), F.lit(0).cast("decimal(38,0)")),
         "fraction": F.coalesce(run(F.sum(F.when(numeric & ~whole, text.try_cast(EXACT)))), F.lit(0).cast(EXACT)),
-        "other": run(F.sum(F.when(numeric & text.try_cast(EXACT).isNull(), text.try_cast("double")))),
+        "other": run(F.sum(F.when(numeric & text.try_cast(EXACT).isNull(), value))),
     }
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .terms import Term, _col, dt, has_numeric_type, is_iri, is_blank, is_literal, is_plain, lang, lex, typed, xsd
+from .terms import Term, _col, dt, has_numeric_type, has_type, is_blank, is_iri, is_literal, is_plain, lang, let, lex, suffix, typed
 
 EXACT = "decimal(38,18)"
 DAY_MICROS = 86_400_000_000
@@ -25,38 +25,53 @@ def exact(x: Term) -> Column:
 
 
 def _floating(x: Term) -> Column:
-    return dt(x).isin(xsd("float"), xsd("double"))
+    return has_type(x, "float", "double")
 
 
 def category(x: Term) -> Column:
     """0 strings, IRIs and blank nodes, 1 numbers, 2 dateTime, 3 date, 4 time, 5 duration, 6 others."""
-    kind = dt(x)
-    out = F.when(~is_literal(x) | is_plain(x) | (lang(x) != ""), 0).when(has_numeric_type(x), 1)
+    out = F.when(~is_literal(x) | is_plain(x) | suffix(x).startswith("@"), 0).when(has_numeric_type(x), 1)
     for k, name in enumerate(("dateTime", "date", "time", "duration"), 2):
-        out = out.when(kind == xsd(name), k)
+        out = out.when(has_type(x, name), k)
     return out.otherwise(6)
 
 
+def _temporal(x: Term) -> Column:
+    return has_type(x, "date", "dateTime", "time")
+
+
+def _zone(text: Column) -> Column:
+    """A text's offset as it is written: Z, +hh:mm, -hh:mm or nothing."""
+    numeric = F.substring(text, -6, 1).isin("+", "-") & (F.substring(text, -3, 1) == ":")
+    return F.when(text.endswith("Z"), F.lit("Z")).when(numeric, F.substring(text, -6, 6)).otherwise(F.lit(""))
+
+
 def _zoned(text: Column) -> Column:
-    return text.rlike(r"(?:Z|[+-][0-9]{2}:[0-9]{2})$")
+    return _zone(text) != ""
 
 
 def moment(x: Term) -> Column:
     """Microseconds of a date, dateTime or time on one line; with an offset applied where there is one."""
-    text, kind = lex(x), dt(x)
-    offset = F.regexp_extract(text, r"([+-])([0-9]{2}):([0-9]{2})$", 2).try_cast("long") * 60 + F.regexp_extract(text, r"([+-])([0-9]{2}):([0-9]{2})$", 3).try_cast("long")
-    shift = F.when(F.regexp_extract(text, r"([+-])[0-9]{2}:[0-9]{2}$", 1) == "-", offset).otherwise(-offset)
-    bare = F.regexp_replace(text, r"(?:Z|[+-][0-9]{2}:[0-9]{2})$", "")
-    clock = F.unix_micros(F.concat(F.lit("1970-01-01T"), bare, F.lit("Z")).try_cast("timestamp"))
-    stamp = F.unix_micros(F.concat(bare, F.lit("Z")).try_cast("timestamp"))
+    return F.when(_temporal(x), let(lex(x), lambda text: let(_zone(text), lambda zone: _moment(x, text, zone))))
+
+
+def _moment(x: Term, text: Column, zone: Column) -> Column:
+    bare = F.substring(text, F.lit(1), F.char_length(text) - F.char_length(zone))
+    minutes = F.substring(zone, 2, 2).cast("long") * 60 + F.substring(zone, 5, 2).cast("long")
+    shift = F.when(zone.startswith("-"), minutes).when(zone.startswith("+"), -minutes).otherwise(F.lit(0))
+    clock = F.when(has_type(x, "time"), F.concat(F.lit("1970-01-01T"), bare)).otherwise(bare)
+    stamp = F.unix_micros(F.concat(clock, F.lit("Z")).try_cast("timestamp"))
     days = F.unix_date(F.substring(bare, 1, 10).try_cast("date")).cast("long") * DAY_MICROS
-    micros = F.when(kind == xsd("date"), days).when(kind == xsd("time"), clock).when(kind == xsd("dateTime"), F.when(F.contains(bare, F.lit("T")), stamp).otherwise(days))
-    return micros + F.coalesce(shift, F.lit(0)) * 60_000_000
+    micros = F.when(has_type(x, "time") | (has_type(x, "dateTime") & F.contains(bare, F.lit("T"))), stamp).otherwise(days)
+    return micros + shift * 60_000_000
 
 
 def duration_parts(x: Term) -> tuple[Column, Column, Column]:
     """Months, days and microseconds of an xsd:duration."""
-    text = lex(x)
+    return _duration_of(lex(x))
+
+
+def _duration_of(text: Column) -> tuple[Column, Column, Column]:
     ok = text.rlike(r"^-?P(?=[0-9T])(?:-?[0-9]+Y)?(?:-?[0-9]+M)?(?:-?[0-9]+W)?(?:-?[0-9]+D)?(?:T(?=[0-9-])(?:-?[0-9]+H)?(?:-?[0-9]+M)?(?:-?[0-9.]+S)?)?$")
     get = lambda p: F.coalesce(F.regexp_extract(text, p, 1).try_cast("decimal(20,6)"), F.lit(0))
     sign = F.when(text.startswith("-"), -1).otherwise(1)
@@ -68,8 +83,11 @@ def duration_parts(x: Term) -> tuple[Column, Column, Column]:
 
 def duration(x: Term) -> Column:
     """Microseconds, a month as 30 days and a day as 24 hours."""
-    months, days, micros = duration_parts(x)
-    return (months * 30 + days) * DAY_MICROS + micros
+    def total(text: Column) -> Column:
+        months, days, micros = _duration_of(text)
+        return (months * 30 + days) * DAY_MICROS + micros
+
+    return let(lex(x), total)
 
 
 def truth(x: Term) -> Column:
@@ -77,40 +95,52 @@ def truth(x: Term) -> Column:
 
 
 def term_eq(a: Term, b: Term) -> Column:
-    a, b = _col(a), _col(b)
+    return let(_col(a), lambda x: let(_col(b), lambda y: _equal(x, y)))
+
+
+def _equal(a: Column, b: Column) -> Column:
     both = lambda f: f(a) & f(b)
-    numbers = F.when(_floating(a) | _floating(b), (number(a) == number(b)) & ~F.isnan(number(a))).otherwise(exact(a) == exact(b))
+    # doubles that differ come from numbers that differ, in the same order: the exact comparison is for ties only
+    numbers = _with_doubles(a, b, lambda p, q: F.when(p != q, F.lit(False)).when(_floating(a) | _floating(b), (p == q) & ~F.isnan(p)).otherwise(lex(a).try_cast(EXACT) == lex(b).try_cast(EXACT)))
     temporal = F.when(_zoned(lex(a)) != _zoned(lex(b)), F.lit(False)).otherwise(moment(a) == moment(b))
     same_kind = (
-        F.when(dt(a).isin(xsd("date"), xsd("dateTime"), xsd("time")), temporal)
-        .when(dt(a) == xsd("boolean"), truth(a) == truth(b))
-        .when(dt(a) == xsd("duration"), duration(a) == duration(b))
+        F.when(_temporal(a), temporal)
+        .when(has_type(a, "boolean"), truth(a) == truth(b))
+        .when(has_type(a, "duration"), duration(a) == duration(b))
         .otherwise(lex(a) == lex(b))
     )
     return (
         F.when(a == b, F.lit(True))
         .when(a.isNull() | b.isNull(), F.lit(None).cast("boolean"))
         .when(~both(is_literal), F.lit(False))
-        .when(both(is_plain), lex(a) == lex(b))
-        .when((lang(a) != "") | (lang(b) != ""), (F.lower(lang(a)) == F.lower(lang(b))) & (lex(a) == lex(b)))
         .when(both(has_numeric_type), numbers)
-        .when(dt(a) != dt(b), F.lit(False))
+        .when(both(is_plain), lex(a) == lex(b))
+        .when(suffix(a).startswith("@") | suffix(b).startswith("@"), (F.lower(suffix(a)) == F.lower(suffix(b))) & (lex(a) == lex(b)))
+        .when(suffix(a) != suffix(b), F.lit(False))
         .otherwise(same_kind)
     )
 
 
 def _order(a: Term, b: Term, compare) -> Column:
     """A comparison where both are of one ordered kind, else null."""
-    a, b = _col(a), _col(b)
-    same = dt(a) == dt(b)
-    numbers = F.when(F.isnan(number(a)) | F.isnan(number(b)), F.lit(False)).when(dt(a) == xsd("double"), compare(number(a), number(b))).otherwise(F.coalesce(compare(exact(a), exact(b)), compare(number(a), number(b))))
+    return let(_col(a), lambda x: let(_col(b), lambda y: _ordered(x, y, compare)))
+
+
+def _with_doubles(a: Column, b: Column, body) -> Column:
+    return let(lex(a).try_cast("double"), lambda p: let(lex(b).try_cast("double"), lambda q: body(p, q)))
+
+
+def _ordered(a: Column, b: Column, compare) -> Column:
+    same = suffix(a) == suffix(b)
+    numbers = _with_doubles(
+        a, b, lambda p, q: F.when(F.isnan(p) | F.isnan(q), F.lit(False)).when((p != q) | has_type(a, "double"), compare(p, q)).otherwise(F.coalesce(compare(lex(a).try_cast(EXACT), lex(b).try_cast(EXACT)), compare(p, q)))
+    )
     return (
-        F.when((lang(a) != "") | (lang(b) != ""), F.lit(None).cast("boolean"))
+        F.when(has_numeric_type(a) & has_numeric_type(b), numbers)
         .when(is_plain(a) & is_plain(b), compare(lex(a), lex(b)))
-        .when(has_numeric_type(a) & has_numeric_type(b), numbers)
-        .when(same & dt(a).isin(xsd("date"), xsd("dateTime"), xsd("time")), F.when(_zoned(lex(a)) != _zoned(lex(b)), F.lit(False)).otherwise(compare(moment(a), moment(b))))
-        .when(same & (dt(a) == xsd("duration")), compare(duration(a), duration(b)))
-        .when(same & (dt(a) == xsd("boolean")), compare(truth(a), truth(b)))
+        .when(same & _temporal(a), F.when(_zoned(lex(a)) != _zoned(lex(b)), F.lit(False)).otherwise(compare(moment(a), moment(b))))
+        .when(same & has_type(a, "duration"), compare(duration(a), duration(b)))
+        .when(same & has_type(a, "boolean"), compare(truth(a), truth(b)))
     )
 
 
@@ -142,36 +172,58 @@ def term_in(x: Term, *values: Term) -> Column:
 
 
 def _key(x: Term, numeric: Column) -> Column:
+    """Marked text of a term's value. A value that can't be read leaves the null of its branch, and the text as key."""
     x = _col(x)
-    tagged = lambda mark, *parts: F.concat_ws("|", F.lit(mark), *parts)
-    return (
+    tagged = lambda mark, *parts: F.concat(F.lit(mark), *[v for p in parts for v in (F.lit("|"), p)])
+    value = (
         F.when(~is_literal(x), x)
+        .when(has_numeric_type(x), tagged("N", numeric))
         .when(is_plain(x), tagged("S", lex(x)))
-        .when(lang(x) != "", tagged("L", F.lower(lang(x)), lex(x)))
-        .when(has_numeric_type(x) & numeric.isNotNull(), tagged("N", numeric))
-        .when(moment(x).isNotNull(), tagged("T", dt(x), _zoned(lex(x)).cast("string"), moment(x).cast("string")))
-        .when((dt(x) == xsd("boolean")) & truth(x).isNotNull(), tagged("B", truth(x).cast("string")))
-        .when((dt(x) == xsd("duration")) & duration(x).isNotNull(), tagged("P", duration(x).cast("string")))
-        .otherwise(tagged("O", dt(x), lex(x)))
+        .when(suffix(x).startswith("@"), tagged("L", F.lower(lang(x)), lex(x)))
+        .when(_temporal(x), tagged("T", dt(x), _zoned(lex(x)).cast("string"), moment(x).cast("string")))
+        .when(has_type(x, "boolean"), tagged("B", truth(x).cast("string")))
+        .when(has_type(x, "duration"), tagged("P", duration(x).cast("string")))
     )
+    return F.coalesce(value, tagged("O", dt(x), lex(x)))
 
 
 def join_key(x: Term) -> Column:
-    value = number(x)
-    return _key(x, F.when(~F.isnan(value), (value + F.lit(0.0)).cast("string")))
+    number = lambda value: F.when(~F.isnan(value), (value + F.lit(0.0)).cast("string"))
+    return let(_col(x), lambda t: _key(t, let(lex(t).try_cast("double"), number)))
 
 
 def group_key(x: Term) -> Column:
-    plain = F.regexp_replace(exact(x).cast("string"), r"\.?0+$", "")
-    return _key(x, F.coalesce(F.when(plain == "-0", F.lit("0")).otherwise(plain), F.when(~F.isnan(number(x)), number(x).cast("string"))))
+    return let(_col(x), _group_key)
+
+
+def _group_key(x: Column) -> Column:
+    text = lex(x)
+    plain = F.regexp_replace(text.try_cast(EXACT).cast("string"), r"\.?0+$", "")
+    value = text.try_cast("double")
+    # an integer of few digits and no leading zero or sign is its own key
+    short = text.rlike("^(?:0|[1-9][0-9]{0,17})$")
+    return _key(x, F.when(short, text).otherwise(F.coalesce(F.when(plain == "-0", F.lit("0")).otherwise(plain), F.when(~F.isnan(value), value.cast("string")))))
 
 
 def sort_struct(x: Term) -> Column:
     """For min and max: by category, then by value, then by text."""
-    x = _col(x)
-    value = F.coalesce(exact(x), F.least(F.greatest(number(x), F.lit(-1e19)), F.lit(1e19)).cast(EXACT), moment(x).cast(EXACT), F.when(dt(x) == xsd("duration"), duration(x).cast(EXACT)))
-    rank = F.when(is_iri(x) | is_blank(x), 0).when(lang(x) == "", 1).otherwise(2)
-    return F.struct(category(x).alias("category"), rank.alias("rank"), value.alias("value"), F.lower(lang(x)).alias("lang"), lex(x).alias("lex"))
+    return let(_col(x), _sort_struct)
+
+
+def _sort_struct(x: Column) -> Column:
+    def parts(category: Column, rank: Column, value: Column, tag: Column) -> Column:
+        return F.struct(category.alias("category"), rank.alias("rank"), value.alias("value"), tag.alias("lang"), lex(x).alias("lex"))
+
+    none = F.lit(None).cast(EXACT)
+    float_value = F.least(F.greatest(lex(x).try_cast("double"), F.lit(-1e19)), F.lit(1e19)).cast(EXACT)
+    value = F.when(_temporal(x), moment(x).cast(EXACT)).when(has_type(x, "duration"), duration(x).cast(EXACT))
+    return (
+        F.when(~is_literal(x), parts(F.lit(0), F.when(is_iri(x) | is_blank(x), 0).otherwise(1), none, F.lit("")))
+        .when(has_numeric_type(x), parts(F.lit(1), F.lit(1), F.coalesce(lex(x).try_cast(EXACT), float_value), F.lit("")))
+        .when(is_plain(x), parts(F.lit(0), F.lit(1), none, F.lit("")))
+        .when(suffix(x).startswith("@"), parts(F.lit(0), F.lit(2), none, F.lower(lang(x))))
+        .otherwise(parts(category(x), F.lit(1), value, F.lit("")))
+    )
 
 
 # native values: the datatype counts only where the cast needs it
@@ -179,13 +231,13 @@ def to_native(x: Term, kind: str) -> Column:
     """kind: decimal, double, float, bigint, int, smallint, boolean, date, timestamp, timestamp_ntz, time (microseconds of
     the day), timetz (microseconds and offset), interval (months, days, microseconds). Null where the cast fails."""
     text, bare = lex(x), F.regexp_replace(lex(x), r"(?:Z|[+-][0-9]{2}:[0-9]{2})$", "")
-    dated = dt(x).isin(xsd("date"), xsd("dateTime"))
+    dated = has_type(x, "date", "dateTime")
     if kind in ("decimal", "double"):
         return F.when(has_numeric_type(x), text.try_cast(EXACT if kind == "decimal" else "double"))
     if kind in ("float", "bigint", "int", "smallint"):
         return text.try_cast(kind)
     if kind == "boolean":
-        return F.when(dt(x).isin(xsd("boolean"), xsd("integer")), truth(x))
+        return F.when(has_type(x, "boolean", "integer"), truth(x))
     if kind == "date":
         return F.when(dated, F.substring(bare, 1, 10).try_cast("date"))
     if kind == "timestamp":
@@ -198,7 +250,7 @@ def to_native(x: Term, kind: str) -> Column:
         return F.struct(to_native(x, "time").alias("micros"), F.regexp_extract(text, r"(Z|[+-][0-9]{2}:[0-9]{2})$", 1).alias("offset"))
     if kind == "interval":
         months, days, micros = duration_parts(x)
-        return F.when(dt(x) == xsd("duration"), F.struct(months.alias("months"), days.alias("days"), micros.alias("micros")))
+        return F.when(has_type(x, "duration"), F.struct(months.alias("months"), days.alias("days"), micros.alias("micros")))
     raise ValueError(f"no native type {kind}")
 
 

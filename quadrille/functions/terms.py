@@ -6,6 +6,8 @@ they are written, so a lexical form is what stands between the quotes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,6 @@ RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 INTEGERS = ("integer", "positiveInteger", "negativeInteger", "nonPositiveInteger", "nonNegativeInteger", "int", "long", "short", "byte", "unsignedLong", "unsignedInt", "unsignedShort", "unsignedByte")
 NUMERICS = (*INTEGERS, "decimal", "float", "double")
 
-LITERAL = r'(?s)^"(.*)"(?:@([A-Za-z0-9-]+)|\^\^<([^<>"]*)>)?$'
 #: Input: quoted, with escapes or doubled quotes inside.
 QUOTED = r'(?s)^"((?:[^"\\]|\\.|"")*)"(?:@([A-Za-z]{1,8}(?:-[A-Za-z0-9]{1,8})*)|\^\^(?:<([^<>"]*)>|([^\s<>"]+)))?$'
 IRI = r'^<[^"\s>][^"\s]*>$|^<>[^"\s]*>$'
@@ -97,23 +98,37 @@ def canonical(x: Term, on_error: str = "null") -> Column:
     return F.when(is_iri(x) | is_blank(x), x).when(x.rlike(QUOTED), quoted).when(closed, bad).when(x.isNotNull(), plain)
 
 
-def _part(x: Column, k: int) -> Column:
-    return F.when(is_literal(x), F.regexp_extract(x, LITERAL, k)).otherwise(F.when(x.isNotNull(), F.lit("")))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value evaluated once. Written out, a comparison repeats its operands dozens of times, too much
+    for one JVM method to be compiled and for plans that inline it again; bound, the expression stays small."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def suffix(x: Term) -> Column:
+    """What follows the closing quote: empty, `@tag` or `^^<datatype>`. Neither can hold a quote, so the last one closes."""
+    return F.substring_index(_col(x), '"', -1)
+
+
+def has_type(x: Term, *names: str) -> Column:
+    """Whether the datatype is one of the XSD types named; a plain string test, so it folds for constant terms."""
+    return F.coalesce(suffix(x).isin(*[f"^^<{xsd(n)}>" for n in names]), F.lit(False))
 
 
 def lex(x: Term) -> Column:
     """Lexical form as it is written; an IRI with its brackets."""
     x = _col(x)
-    return F.when(is_literal(x), F.regexp_extract(x, LITERAL, 1)).otherwise(x)
+    return F.when(is_literal(x), F.substring(x, F.lit(2), F.char_length(x) - F.char_length(suffix(x)) - 2)).otherwise(x)
 
 
 def lang(x: Term) -> Column:
-    return _part(_col(x), 2)
+    end = suffix(x)
+    return F.when(end.startswith("@"), F.substring(end, 2, 1 << 30)).otherwise(F.when(_col(x).isNotNull(), F.lit("")))
 
 
 def dt(x: Term) -> Column:
     """Datatype IRI as written, empty for plain and tagged literals, IRIs and blank nodes."""
-    return _part(_col(x), 3)
+    end = suffix(x)
+    return F.when(end.startswith("^^<"), F.substring(end, F.lit(4), F.char_length(end) - 4)).otherwise(F.when(_col(x).isNotNull(), F.lit("")))
 
 
 def datatype(x: Term) -> Column:
@@ -126,11 +141,11 @@ def datatype(x: Term) -> Column:
 def is_plain(x: Term) -> Column:
     """Plain, xsd:string or xsd:anyURI: compared as a string."""
     x = _col(x)
-    return is_literal(x) & (lang(x) == "") & dt(x).isin("", xsd("string"), xsd("anyURI"))
+    return is_literal(x) & suffix(x).isin("", f"^^<{xsd('string')}>", f"^^<{xsd('anyURI')}>")
 
 
 def has_numeric_type(x: Term) -> Column:
-    return F.coalesce(dt(x).isin(*map(xsd, NUMERICS)), F.lit(False))
+    return has_type(x, *NUMERICS)
 
 
 def is_numeric(x: Term) -> Column:
