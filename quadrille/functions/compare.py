@@ -1,12 +1,15 @@
 """Equality, order, keys for joins and grouping, and casts between terms and native types.
 
-term_eq and term_lt follow SPARQL's value comparison; where the reference semantics has an error the result is null.
+term_eq and term_lt follow SPARQL's value comparison; where SPARQL has an error the result is null, or with
+on_error="raise" the query fails. A null operand gives null in both modes.
 `join_key` is equal for equal terms (equal keys may still differ: keep term_eq as a residual), `group_key` is an exact
 equivalence for grouping.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,8 +97,8 @@ def truth(x: Term) -> Column:
     return F.when(lex(x).isin("true", "1"), True).when(lex(x).isin("false", "0"), False)
 
 
-def term_eq(a: Term, b: Term) -> Column:
-    return let(_col(a), lambda x: let(_col(b), lambda y: _equal(x, y)))
+def term_eq(a: Term, b: Term, on_error: str = "null") -> Column:
+    return let(_col(a), lambda x: let(_col(b), lambda y: _strict(_equal(x, y), "compare", on_error, x, y)))
 
 
 def _equal(a: Column, b: Column) -> Column:
@@ -121,9 +124,21 @@ def _equal(a: Column, b: Column) -> Column:
     )
 
 
-def _order(a: Term, b: Term, compare) -> Column:
-    """A comparison where both are of one ordered kind, else null."""
-    return let(_col(a), lambda x: let(_col(b), lambda y: _ordered(x, y, compare)))
+def _strict(result: Column, what: str, on_error: str, *operands: Column) -> Column:
+    """The result, or with on_error="raise" an error where it is null although no operand is."""
+    if on_error not in ("null", "raise"):
+        raise ValueError('on_error is "null" or "raise"')
+    if on_error == "null":
+        return result
+    present = reduce(lambda p, q: p & q, [c.isNotNull() for c in operands])
+    shown = F.concat_ws(" and ", *[c.cast("string") for c in operands])
+    error = F.raise_error(F.concat(F.lit(f"cannot {what} "), shown)).cast("boolean")
+    return let(result, lambda r: F.when(r.isNull() & present, error).otherwise(r))
+
+
+def _order(a: Term, b: Term, compare, on_error: str) -> Column:
+    """A comparison where both are of one ordered kind, else null or an error."""
+    return let(_col(a), lambda x: let(_col(b), lambda y: _strict(_ordered(x, y, compare), "order", on_error, x, y)))
 
 
 def _with_doubles(a: Column, b: Column, body) -> Column:
@@ -144,24 +159,24 @@ def _ordered(a: Column, b: Column, compare) -> Column:
     )
 
 
-def term_ne(a: Term, b: Term) -> Column:
-    return ~term_eq(a, b)
+def term_ne(a: Term, b: Term, on_error: str = "null") -> Column:
+    return ~term_eq(a, b, on_error)
 
 
-def term_lt(a: Term, b: Term) -> Column:
-    return _order(a, b, lambda x, y: x < y)
+def term_lt(a: Term, b: Term, on_error: str = "null") -> Column:
+    return _order(a, b, lambda x, y: x < y, on_error)
 
 
-def term_le(a: Term, b: Term) -> Column:
-    return _order(a, b, lambda x, y: x <= y)
+def term_le(a: Term, b: Term, on_error: str = "null") -> Column:
+    return _order(a, b, lambda x, y: x <= y, on_error)
 
 
-def term_gt(a: Term, b: Term) -> Column:
-    return _order(a, b, lambda x, y: x > y)
+def term_gt(a: Term, b: Term, on_error: str = "null") -> Column:
+    return _order(a, b, lambda x, y: x > y, on_error)
 
 
-def term_ge(a: Term, b: Term) -> Column:
-    return _order(a, b, lambda x, y: x >= y)
+def term_ge(a: Term, b: Term, on_error: str = "null") -> Column:
+    return _order(a, b, lambda x, y: x >= y, on_error)
 
 
 def term_in(x: Term, *values: Term) -> Column:
@@ -282,12 +297,13 @@ def from_native(x: Column, kind: str) -> Column:
     raise ValueError(f"no native type {kind}")
 
 
-def native_compare(x: Term, op: str, value: Column, kind: str) -> Column:
+def native_compare(x: Term, op: str, value: Column, kind: str, on_error: str = "null") -> Column:
     """term op native, the datatype ignored for numbers and dates; dates that don't parse differ from everything."""
+    term, operand = _col(x), value
     left = lex(x).try_cast(EXACT) if kind in ("decimal", "bigint", "int", "smallint") else lex(x).try_cast("double") if kind in ("double", "float") else F.substring(lex(x), 1, 10).try_cast("date") if kind == "date" else to_native(x, kind)
     if kind == "interval":
         left, value = duration(x), (value["months"] * 30 + value["days"]) * DAY_MICROS + value["micros"]
     made = {"=": left == value, "<>": left != value, "<": left < value, "<=": left <= value, ">": left > value, ">=": left >= value}[op]
-    return F.coalesce(made, F.lit(op == "<>")) if kind == "date" else made
+    return F.coalesce(made, F.lit(op == "<>")) if kind == "date" else _strict(made, "compare", on_error, term, operand)
 
 

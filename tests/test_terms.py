@@ -28,6 +28,25 @@ def test_equality_and_keys(spark):
         assert not want or value(spark, C.join_key(a) == C.join_key(b))
 
 
+def test_strict(spark):
+    null = F.lit(None).cast("string")
+    for made, want in [
+        (C.term_lt(lit("2", "int"), lit("10", "integer"), "raise"), True),
+        (C.term_ge(lit("2023-01-01T00:00:00Z", "dateTime"), lit("2023-01-01T01:00:00+01:00", "dateTime"), "raise"), True),
+        (C.term_lt(null, lit("1", "int"), "raise"), None),
+        (C.term_lt(lit("a"), lit("1", "int")), None),
+        (C.term_eq(lit("0.1", "decimal"), lit("0.10000000000000000", "decimal"), "raise"), True),
+        (C.term_eq(lit("9007199254740993", "long"), lit("9007199254740992", "long")), False),
+        (C.term_gt(lit("9007199254740993", "long"), lit("9007199254740992", "long")), True),
+        (C.native_compare(lit("42", "string"), "=", F.lit(42), "int", "raise"), True),
+        (C.native_compare(lit("x", "date"), "<>", F.lit("2023-01-01").cast("date"), "date", "raise"), True),
+    ]:
+        assert value(spark, made) is want
+    for bad in [C.term_lt(lit("a"), lit("1", "int"), "raise"), C.term_lt(F.lit('"a"@en'), F.lit('"b"@en'), "raise"), C.term_eq(lit("2011-10-08", "date"), lit("", "date"), "raise"), C.native_compare(lit("x"), "=", F.lit(42), "int", "raise")]:
+        with pytest.raises(Exception, match="cannot (order|compare)"):
+            value(spark, bad)
+
+
 def test_functions(spark):
     for made, want in [(S.substr(F.lit('"hello"@en'), 2, 3), '"ell"@en'), (S.strafter(F.lit('"abc"@en'), lit("b")), '"c"@en'), (S.encode_for_uri(lit("a b*~é")), '"a%20b%2A~%C3%A9"'), (S.round_(lit("-2.5", "decimal")), f'"-2"^^<{X}decimal>'), (S.timezone(lit("2011-01-10T14:45:13.815-05:00", "dateTime")), f'"-PT5H"^^<{X}dayTimeDuration>'), (C.term_lt(F.lit('"a"@en'), F.lit('"b"@en')), None)]:
         assert value(spark, made) == want
