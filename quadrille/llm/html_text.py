@@ -29,8 +29,6 @@ CONSTANT, LEAST_PAGES = 0.6, 4
 SALTS = 64
 #: Seeds that a worker keeps parsed.
 SEEDS = 64
-#: In place of the number of a seed's block, on pages that are the seed or equal it.
-SEED = -2
 #: Share of the text outside links that the article must hold where no element says it.
 MOST_TEXT = 0.7
 
@@ -277,9 +275,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def kept(host: str, page: str, seed: str | None, parsed: dict) -> tuple[list[str], list[int]]:
         """Texts of a page's article, and the seed's block that each repeats."""
         tree = parse(page)
-        if seed is None or seed == page:
-            twin = [SEED] * len(tree[1])
-        else:
+        if seed is None:
+            twin = [-1] * len(tree[1])
+        else:  # the seed and its copies too: each of their blocks meets itself, or the first with its text
             if host not in parsed:
                 if len(parsed) >= SEEDS:
                     parsed.clear()

@@ -145,6 +145,13 @@ def test_html(spark):
     assert got[1] == "T1\nOnly 1 & more words here go" and got[90] == "" and got[91] == "" and got[92] == "plain text"
 
 
+def test_html_seed_and_copies(spark):
+    page = lambda k: f"<body><div class='content'><h1>T{k}</h1><p>Only {k} more words here<p>Same on all pages<p>Same on all pages</div>"
+    rows = [(k, "http://h.example/x", page(k)) for k in range(8)] + [(k, "http://h.example/copy", page(0)) for k in range(20, 30)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"T{k if k < 20 else 0}\nOnly {k if k < 20 else 0} more words here" for k, _, _ in rows}
+
+
 def test_models(spark, docs):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = language_id.fold("doc_id", 4, 2)
