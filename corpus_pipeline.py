@@ -13,6 +13,9 @@ from quadrille.llm import exact_dedup, near_dedup, packing, quality_rules, secre
 from quadrille.llm._common import materialise
 from quadrille.llm.queries import ARROW_ROWS
 
+#: Similarity from which documents are near copies (op8's query has its own, 85).
+NEAR_PERCENT = 80
+
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -24,7 +27,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

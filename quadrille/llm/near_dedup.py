@@ -7,8 +7,9 @@ of a union are the maxima, and two sets agree in a register with a probability n
 growing order and a shingle stops once its next point can't lower any register, so a set costs about its size plus
 m log m steps rather than size times m.
 
-1. Documents with equal sets are one node. 2. Eight registers a band, 32 bands: documents that share a band are
-candidates (a pair at 0.85 is missed once in 25,000; a pair that isn't may still meet in step 3). 3. Candidates' coarse
+1. Documents with equal sets are one node. 2. Up to eight registers a band, as many bands as that gives, by the
+threshold (`banding`): documents that share a band are candidates (a pair at the threshold is missed once in 25,000 at
+most; a pair that isn't may still meet in step 3). 3. Candidates' coarse
 components, or their buckets where a component is large, or pairs of blocks of a bucket where the bucket is large, are
 compared within one bounded task: a likelihood that takes the registers where one is greater, less and equal jointly,
 given both sizes, rules out pairs far below the threshold, the rest are verified on full sets. Pairs that are already
@@ -33,8 +34,9 @@ from .hashing import chunks, mix, shingle_sets
 
 WIDTH = 5
 PERCENT = 85
-BANDS, ROWS = 32, 8
-REGISTERS = BANDS * ROWS
+REGISTERS = 256
+#: Registers a band at most, and the share of pairs at the threshold that may share no band.
+MOST_ROWS, MISSED = 8, 4e-5
 # Fixed values of the sketch: base, rate and truncation.
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Log-likelihood by which a pair must be worse at the threshold than at its best to be ruled out (once in a million).
@@ -67,10 +69,21 @@ def sketch(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(k, 0, LIMIT + 1).astype(np.uint16).reshape(n, m)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and registers a band: the longest bands that miss few enough of the pairs at the threshold."""
+    for rows in range(MOST_ROWS, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (REGISTERS // rows) <= MISSED:
+            return REGISTERS // rows, rows
+    return REGISTERS, 1
+
+
+def band_keys(registers: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """A 64-bit key for each band of each row."""
-    halves = np.ascontiguousarray(registers).view(np.uint64).reshape(len(registers), BANDS, ROWS // 4)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), halves.shape[:2])
+    bands, rows = banding(percent)
+    padded = np.zeros((len(registers), bands, -(-rows // 4) * 4), np.uint16)
+    padded[:, :, :rows] = registers[:, : bands * rows].reshape(len(registers), bands, rows)
+    halves = padded.view(np.uint64)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), halves.shape[:2])
     for k in range(halves.shape[2]):
         key = mix(key + halves[:, :, k])
     return key.astype(np.int64)
@@ -125,7 +138,7 @@ def link(ids: np.ndarray, sets: list[np.ndarray], registers: np.ndarray, percent
     return order[label]
 
 
-def signatures(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
+def signatures(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, n_shingles, digest of the set, its band keys (none for an empty set)."""
     kind = df.schema[id_col].dataType.simpleString()
 
@@ -134,7 +147,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH) ->
             sizes, digests, bands = [], [], []
             for part in chunks(batch.column(1)):
                 sets = shingle_sets([t.lower() for t in part], width)  # of bytes: A-Z alone
-                keys = band_keys(sketch(sets))
+                keys = band_keys(sketch(sets), percent)
                 sizes += [len(s) for s in sets]
                 digests += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 bands += [k if len(s) else [] for s, k in zip(sets, keys)]
@@ -205,7 +218,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one document with several sets. Rows without an id are linked with nothing and kept; their component is null. Ties
     can't arise; an empty table gives none; other columns are ignored.
     """
-    rows = materialise(signatures(df, id_col, text_col, width), "near-rows")
+    rows = materialise(signatures(df, id_col, text_col, width, percent), "near-rows")
     some = rows.where("n_shingles > 0 and doc_id is not null")
     first = some.groupBy("digest").agg(F.min("doc_id").alias("node"))
     known = materialise(some.join(first, "digest"), "near-nodes")

@@ -110,6 +110,19 @@ def test_near(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {i: (len(made[i]), label[i]) for i in made}
 
 
+def test_near_at_80(spark):
+    import corpus_pipeline as C
+
+    for percent in (95, 85, 80, 70, 50):
+        bands, rows = near_dedup.banding(percent)
+        assert bands * rows <= near_dedup.REGISTERS and (1 - (percent / 100) ** rows) ** bands < 1 / 25_000
+    assert near_dedup.banding(85) == (32, 8)
+    at = lambda n: " ".join([*map(str, range(204 - n)), *(f"x{k}" for k in range(n))])  # noqa: E731  # 200 shingles, n of them new
+    rows = [(0, at(0), "en", "s", 1), (1, at(22), "en", "s", 1), (2, at(0).replace(" ", " z"), "en", "s", 1), (3, at(23).replace(" ", " z"), "en", "s", 1)]  # 178/222 = 0.802, 177/223 = 0.794
+    left = C.near_dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), DATA)
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2, 3]
+
+
 def test_substrings(docs, texts):
     first = {}
     for d, t in texts:
