@@ -4,7 +4,7 @@
     spark.read.format("quadrille_sparql").schema("s string, o string").option("endpoint", url).option("query", text).load()
 
 A query is one partition, since an endpoint answers it as one document; `pages` splits it into that many with OFFSET and
-LIMIT (`page_size` rows each, and the query must have an ORDER BY). Documents are parsed as they arrive.
+LIMIT (`page_size` rows each, and the query must have an ORDER BY); the last one's task goes on page by page to an empty one. Documents are parsed as they arrive.
 """
 
 from __future__ import annotations
@@ -106,8 +106,8 @@ def request(options: dict[str, str], form: dict[str, str], accept: str, endpoint
 
 
 class Page(InputPartition):
-    def __init__(self, query: str):
-        self.query = query
+    def __init__(self, query: str, offset: int | None = None, size: int = 0, last: bool = True):
+        self.query, self.offset, self.size, self.last = query, offset, size, last
 
 
 class SparqlReader(DataSourceReader):
@@ -122,12 +122,29 @@ class SparqlReader(DataSourceReader):
         if pages <= 1:
             return [Page(query)]
         size = int(self.options["page_size"])
-        return [Page(f"{query}\nOFFSET {k * size}\nLIMIT {size}") for k in range(pages)]
+        if size < 1:
+            raise ValueError("option page_size must be 1 or more")
+        return [Page(query, k * size, size, k == pages - 1) for k in range(pages)]
 
     def read(self, partition: Page) -> Iterator[Row]:
-        form = {self.options.get("query_param", "query"): partition.query}
+        if partition.offset is None:
+            yield from self.page(partition.query)
+            return
+        at, end = partition.offset, partition.offset + partition.size
+        triples = self.options.get("query_type", "select") == "describe"  # of which a solution has any number
+        while partition.last or at < end:
+            n, size = 0, partition.size if partition.last else end - at
+            for row in self.page(f"{partition.query}\nOFFSET {at}\nLIMIT {size}"):
+                n += 1
+                yield row
+            if not n:  # an endpoint may give fewer rows than asked for, so only an empty page is the end
+                return
+            at += size if triples else n
+
+    def page(self, query: str) -> Iterator[Row]:
+        form = {self.options.get("query_param", "query"): query}
         if self.options.get("query_type", "select") == "describe":
-            if "describe" not in partition.query.lower():
+            if "describe" not in query.lower():
                 raise ValueError("not a DESCRIBE query")
             yield from description(request(self.options, form, "application/rdf+xml"), self.options.get("base_uri", ""))
             return

@@ -4,6 +4,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 from urllib.parse import parse_qs
 
 import pytest
+from pyspark.sql.types import StructType
 
 from quadrille.operators import update as U
 from quadrille.plans.pushdown import Call, Const, Var, plan, rewritable
@@ -48,6 +49,20 @@ def test_endpoint(spark):
     server.shutdown()
 
 
+@pytest.mark.parametrize("most", [1, 9])  # rows that the endpoint gives at once
+@pytest.mark.parametrize("n", [0, 3, 6, 7, 20])
+def test_pages_cover_all_rows(monkeypatch, n, most):
+    def answer(options, form, accept, endpoint=None):
+        at, size = (int(x.split()[1]) for x in form["query"].split("\n")[1:])
+        rows = "".join(f'<result><binding name="s"><uri>{k}</uri></binding></result>' for k in range(at, min(at + min(size, most), n)))
+        return io.BytesIO(f'<sparql xmlns="http://www.w3.org/2005/sparql-results#"><results>{rows}</results></sparql>'.encode())
+
+    monkeypatch.setattr(Q, "request", answer)
+    reader = Q.SparqlReader({"endpoint": "x", "query": "SELECT ?s {?s ?p ?o} ORDER BY ?s", "pages": "3", "page_size": "2"}, StructType().add("s", "string"))
+    parts = reader.partitions()
+    assert len(parts) == 3 and [r[0] for p in parts for r in reader.read(p)] == [f"<{k}>" for k in range(n)]
+
+
 def test_update_guards():
     with pytest.raises(ValueError):
         U.check_pattern("?s ?p", ["s", "p"])
