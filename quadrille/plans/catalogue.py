@@ -117,6 +117,13 @@ def value_join(spark, sf_dir):
     return R.value_join(parts, items, "size", "qty").select("part", "item")
 
 
+@query("""SELECT '"' || p_size || '"^^<{X}int>' AS size, count(*) AS n FROM part JOIN lineitem ON p_size = CAST(l_quantity AS BIGINT) GROUP BY p_size""")
+def value_join_whole(spark, sf_dir):
+    """All pairs of the whole tables, counted by size."""
+    parts = table(spark, sf_dir, "part").select(C.from_native(F.col("p_size"), "int").alias("size"))
+    return R.value_join(parts, lineitems(spark, sf_dir).select("qty"), "size", "qty").groupBy("size").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
 def anti_join(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"))
@@ -158,6 +165,12 @@ def minus_pattern(spark, sf_dir):
     return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), few)
 
 
+@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS n FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)""")
+def minus_pattern_whole(spark, sf_dir):
+    homes = table(spark, sf_dir, "supplier").select(L.node("nation", F.col("s_nationkey")).alias("n"))
+    return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), homes)
+
+
 @query("""SELECT '<{B}customer/7>' AS subject, '<{B}p/' || p || '>' AS predicate, o AS object FROM (SELECT 'name' AS p, '"' || c_name || '"' AS o FROM customer WHERE c_custkey = 7 UNION ALL SELECT 'nation', '<{B}nation/' || c_nationkey || '>' FROM customer WHERE c_custkey = 7)""")
 def describe(spark, sf_dir):
     return P.describe(customer_triples(spark, sf_dir), f"<{L.BASE}customer/7>")
