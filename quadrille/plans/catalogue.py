@@ -190,6 +190,13 @@ def language_tags(spark, sf_dir):
     return t.select("term", T.lang("term").alias("tag"), T.lang_matches(T.lang("term"), F.lit("en")).alias("english"), T.literal(T.lang("term")).alias("code"), "size")
 
 
+@query("""SELECT '"' || replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"@' || lang AS term, lang AS tag, lang = 'en' AS english, '"' || lang || '"' AS code, length(text) AS size FROM documents""")
+def language_tags_whole(spark, sf_dir):
+    """All documents with their whole texts, escaped."""
+    t = table(spark, sf_dir, "documents").select(L.tagged(F.col("text"), F.col("lang")).alias("term"), F.char_length("text").cast("long").alias("size"))
+    return t.select("term", T.lang("term").alias("tag"), T.lang_matches(T.lang("term"), F.lit("en")).alias("english"), T.literal(T.lang("term")).alias("code"), "size")
+
+
 @query("""SELECT '<{B}order/' || o_orderkey || '>' AS s, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, CAST(day(o_orderdate) AS INTEGER) AS d, CAST(hour(o_orderdate) AS INTEGER) AS h, CAST(minute(o_orderdate) AS INTEGER) AS mi FROM orders""")
 def date_functions(spark, sf_dir):
     t = P.match(order_triples(spark, sf_dir), "?s", L.predicate("ordered"), "?t")
