@@ -4,8 +4,8 @@ Pages are parsed to trees of block elements, in which a run of like siblings (pa
 node. Each host has a seed page; every page of the host is aligned with it by simple tree matching, the largest common
 sub-forest that keeps order and labels. Text that stands in the same place with the same words on most of the host's
 differing pages is template; slots that vary are content. Of these, parts whose element or class says that they're no
-article (navigation, forms, notices, adverts, comments and the like) go, and the article is the element that says so or
-else the deepest one that holds most of the remaining text outside links.
+article (navigation, forms, notices, adverts, comments and the like) go. The article is all elements that say so, or else
+all that's left.
 
 All pages are aligned and counted; counts are summed per host before and after the shuffle. Hosts with over a hundredth
 of the pages (at most a hundred of them) are dealt out by salt, so no task holds a large host.
@@ -29,8 +29,6 @@ CONSTANT, LEAST_PAGES = 0.6, 4
 SALTS = 64
 #: Seeds that a worker keeps parsed.
 SEEDS = 64
-#: Share of the text outside links that the article must hold where no element says it.
-MOST_TEXT = 0.7
 
 # Element names by what they are.
 DROPPED = frozenset("head nav footer aside form script style noscript template iframe svg math button select option textarea input label object canvas audio video dialog menu title".split())
@@ -39,7 +37,6 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "tbody": ("thead tbody tr td th", "table"), "thead": ("tbody tr td th", "table"), "tfoot": ("tbody thead tr td th", "table")}
-PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote table thead tbody tfoot tr td th figure figcaption".split())  # of an article, never the whole
 MAIN_TAGS = frozenset(("article", "main"))
 NO_ARTICLE = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|side-?bar|footer|site-?header|masthead|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscri\w+|sign-?up|login|share|sharing|social|related|recommend\w*|comments?|respond|discussion|replies|disqus|widget\w*|toolbar|pagination|pager|hidden|skip|copyright|legal|disclaimer|search\w*)(?:$|[\s_-])")
 MAIN = re.compile(r"(?i)(?:^|[\s_-])(?:article(?:-?body|-?content)?|post-?(?:body|content)|entry-?content|main-?content|story(?:-?body)?)(?:$|[\s_-])")
@@ -64,7 +61,6 @@ class Block:
     text: str
     node: Node
     dropped: bool
-    linked: int
     path: tuple[Node, ...]
 
 
@@ -74,12 +70,9 @@ def parse(page: str) -> tuple[Node, list[Block]]:
     stack: list[tuple[str, Node]] = [("", root)]  # open elements; inline ones stand for the block element they are in
     blocks: list[Block] = []
     held: list[str] = []
-    linked = 0
-    in_link = 0
     at = 0
 
     def flush() -> None:
-        nonlocal linked
         if held:
             text = GAPS.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
@@ -87,22 +80,16 @@ def parse(page: str) -> tuple[Node, list[Block]]:
                 node = stack[-1][1]
                 path = tuple(dict.fromkeys(n for _, n in stack))
                 node.blocks.append(len(blocks))
-                blocks.append(Block(text, node, any(n.dropped and not (n.tag == "header" and any(m.main for m in path[: path.index(n)])) for n in path), linked, path))
-        linked = 0
+                blocks.append(Block(text, node, any(n.dropped and not (n.tag == "header" and any(m.main for m in path[: path.index(n)])) for n in path), path))
 
     def close(k: int) -> None:
-        nonlocal in_link
         if any(t not in INLINE for t, _ in stack[k:]):
             flush()
-        in_link -= sum(t == "a" for t, _ in stack[k:])
         del stack[k:]
 
     def text_to(end: int) -> None:
-        nonlocal linked
         if end > at:
             held.append(page[at:end])
-            if in_link:
-                linked += end - at
 
     while m := MARKUP.search(page, at):
         text_to(m.start())
@@ -134,7 +121,6 @@ def parse(page: str) -> tuple[Node, list[Block]]:
             if last:
                 close(last)
         if tag in INLINE:
-            in_link += tag == "a"
             stack.append((tag, stack[-1][1]))
             continue
         flush()
@@ -223,27 +209,8 @@ def align(seed: tuple[Node, list[Block]], page: tuple[Node, list[Block]]) -> lis
 def article(blocks: list[Block]) -> list[bool]:
     """Which blocks are the article's."""
     keep = [not b.dropped for b in blocks]
-    size = [len(b.text) if k else 0 for b, k in zip(blocks, keep)]
-    held: dict[int, int] = {}
-    for b, n in zip(blocks, size):
-        for node in b.path:
-            held[id(node)] = held.get(id(node), 0) + n
-    mains = {id(n): n for b, k in zip(blocks, keep) if k for n in b.path if n.main}
-    if mains:
-        best = max(mains, key=lambda i: held[i])
-        if held[best]:
-            return [k and any(id(n) == best for n in b.path) for b, k in zip(blocks, keep)]
-    prose = [max(0, n - b.linked) if 2 * b.linked < max(n, 1) else 0 for b, n in zip(blocks, size)]
-    total = sum(prose)
-    if not total:
-        return keep if sum(size) and not any(b.linked for b in blocks) else [False] * len(blocks)
-    share: dict[int, int] = {}
-    for b, n in zip(blocks, prose):
-        for node in b.path:
-            share[id(node)] = share.get(id(node), 0) + n
-    at = max(blocks, key=lambda b: share[id(b.path[-1])])
-    best = next((id(n) for n in reversed(at.path) if n.tag not in PARTS and share[id(n)] >= MOST_TEXT * total), id(at.path[0]))
-    return [k and n > 0 and any(id(x) == best for x in b.path) for b, k, n in zip(blocks, keep, prose)]
+    marked = [k and any(n.main for n in b.path) for b, k in zip(blocks, keep)]
+    return marked if any(marked) else keep
 
 
 def with_host(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:

@@ -165,6 +165,18 @@ def test_html_seed_and_copies(spark):
     assert got == {k: f"T{k if k < 20 else 0}\nOnly {k if k < 20 else 0} more words here" for k, _, _ in rows}
 
 
+def test_html_keeps_whole_articles():
+    def text(page):
+        blocks = html_text.parse(page)[1]
+        return [b.text for b, yes in zip(blocks, html_text.article(blocks)) if yes]
+
+    long, short = "many words " * 40, "fewer words " * 8
+    assert text(f"<body><nav>n</nav><div class=a><p>{long}</div><div class=b><p>{short}<p><a href=x>a line of links</a></div>") == [long.strip(), short.strip(), "a line of links"]
+    assert text(f"<body><p>out<article><p>{long}</article><article><p>{short}<div class=comments><article>no</article></div></article>") == [long.strip(), short.strip()]
+    assert text("<body><ul><li><a href=x>one</a><li><a href=y>two</a></ul>") == ["one", "two"]
+    assert text("<body><main></main><p>out") == ["out"]
+
+
 def test_models(spark, docs):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = language_id.fold("doc_id", 4, 2)
