@@ -5,17 +5,21 @@ Pre-tokens are cut there, the fragments are encoded independently of each other
 ids are kept in a bounded memo. The vocabulary's end-of-word marker is folded into the last character of a
 pre-token, so a fragment needs no knowledge of its neighbours.
 
+Short fragments are merged side by side in numpy, a pair a round in each; a long one is merged with a heap of its pairs
+and links between neighbours, in n log n steps.
+
 Null and empty texts have no ids and decode to the empty string. Texts of any length are encoded whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,8 @@ TOKENIZER = "word_bpe_49k.json"
 MEMO = 400_000
 #: Longer words aren't remembered.
 MEMO_WORD = 64
+#: Characters of a fragment beyond which it is merged with a heap.
+LONG = 256
 _END = 0x10000  # of a private plane: the character that stands for "this one, at a word's end"
 
 
@@ -49,6 +55,7 @@ class PairTable:
         a, b, made = (np.array(x, dtype=np.uint64) for x in zip(*merges))
         keys, ranks = a << np.uint64(32) | b, np.arange(len(made))
         self.tables = []
+        self.merges = merges
         factor = 0x9E3779B97F4A7C15
         while len(keys):
             slot = self._slot(keys, factor)
@@ -61,6 +68,11 @@ class PairTable:
             keys, ranks, made = keys[rest], ranks[rest], made[rest]
             factor = (factor * 0xD1342543DE82EF95 + 2) & (1 << 64) - 1 | 1
 
+    @cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """Rank and product by pair, for one look-up at a time."""
+        return {a << 32 | b: (rank, made) for rank, (a, b, made) in reversed(list(enumerate(self.merges)))}
+
     def _slot(self, keys: np.ndarray, factor: int) -> np.ndarray:
         return (keys * np.uint64(factor) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
@@ -75,7 +87,48 @@ class PairTable:
         return out
 
 
+def merge_long(symbols: list[int], table: PairTable) -> tuple[list[int], list[int]]:
+    """One fragment: the pair of least rank, leftmost first, off a heap; (ids, the place of each one's first character)."""
+    pairs, n = table.pairs, len(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(p[0], k, a, b) for k, (a, b) in enumerate(zip(symbols, symbols[1:])) if (p := pairs.get(a << 32 | b))]
+    heapq.heapify(heap)
+    while heap:
+        _, k, a, b = heapq.heappop(heap)
+        j = after[k]
+        if symbols[k] != a or j >= n or symbols[j] != b:  # one of the two has been merged since
+            continue
+        symbols[k], symbols[j] = pairs[a << 32 | b][1], -1
+        after[k] = i = after[j]
+        if i < n:
+            before[i] = k
+            if p := pairs.get(symbols[k] << 32 | symbols[i]):
+                heapq.heappush(heap, (p[0], k, symbols[k], symbols[i]))
+        if (h := before[k]) >= 0 and (p := pairs.get(symbols[h] << 32 | symbols[k])):
+            heapq.heappush(heap, (p[0], h, symbols[h], symbols[k]))
+    at = [k for k, x in enumerate(symbols) if x >= 0]
+    return [symbols[k] for k in at], at
+
+
 def merge(symbols: np.ndarray, fragment: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all fragments and the place of each one's first character."""
+    starts = np.flatnonzero(np.append(True, fragment[1:] != fragment[:-1])) if len(symbols) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, len(symbols)))
+    long = sizes > LONG
+    if not long.any():
+        return merge_short(symbols, fragment, table)
+    short = np.repeat(~long, sizes)
+    ids, at = merge_short(symbols[short], fragment[short], table)
+    parts = [(ids, np.flatnonzero(short)[at])]
+    for i, n in zip(starts[long].tolist(), sizes[long].tolist()):
+        ids, at = merge_long(symbols[i : i + n].tolist(), table)
+        parts.append((np.array(ids, dtype=np.int64), np.array(at, dtype=np.int64) + i))
+    ids, at = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(at)
+    return ids[order], at[order]
+
+
+def merge_short(symbols: np.ndarray, fragment: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
     """Merge each fragment's pair of least rank, leftmost first, one a round in every fragment that has any; (ids, the
     place of each one's first character)."""
     at = np.arange(len(symbols))
