@@ -27,8 +27,8 @@ MAX_LABELLED = 6000
 EPOCHS = 3
 # Fixed values of the updates: learning rate, its smoothing, and the two penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
-#: Words that a worker's memo holds; a full memo is emptied.
-MEMO = 300_000
+#: Words that a worker's memo holds; a full memo is emptied. Longer words than MEMO_WORD go with their batch.
+MEMO, MEMO_WORD = 300_000, 64
 #: Words hashed at once.
 CHUNK_WORDS = 200_000
 
@@ -38,7 +38,7 @@ _RUNS = [(re.compile(r"[^\W\d_]+"), None), (re.compile(r"\d+"), "0")]
 def shape(word: str) -> str:
     """Unicode letters to x, X or Xx by case, digits to 0, other characters as they are but runs of one character once."""
     case = lambda m: "X" if len(m[0]) > 1 and m[0].isupper() else "Xx" if m[0][0].isupper() else "x"
-    out = _RUNS[1][0].sub("0", _RUNS[0][0].sub(case, word[:64]))
+    out = _RUNS[1][0].sub("0", _RUNS[0][0].sub(case, word))
     return re.sub(r"([^\w])\1+", r"\1", out)
 
 
@@ -59,7 +59,10 @@ class Hasher:
             memo.clear()
             missing = set(flat)
         memo.update(self._of(missing))
+        long = [w for w in missing if len(w) > MEMO_WORD]
         both = np.fromiter(map(memo.__getitem__, flat), np.uint64, len(flat))
+        for w in long:
+            del memo[w]
         of = np.repeat(np.arange(len(texts)), [len(w) for w in words])
         a, b = both & np.uint64(0xFFFFFFFF), both >> np.uint64(32)
         m = np.uint64(0x9E3779B97F4A7C15)
