@@ -188,7 +188,7 @@ def test_models(spark, docs):
     good = {r.doc_id: r.quality for r in labels.collect()}
     rows = quality_model.score(real, model, "doc_id", "text", held.alias("h")).where("h").collect()
     assert np.mean([good[r.doc_id] == r.predicted for r in rows if r.doc_id in good]) > 0.9
-    assert {r.lang_pred for r in language_id.predict(docs, ([], np.zeros((language_id.BUCKETS, 0)))).collect()} == {"und"}
+    assert {r.lang_pred for r in language_id.predict(docs, ([], np.zeros((language_id.BUCKETS, 0)), np.zeros(0))).collect()} == {"und"}
 
 
 def test_pipeline(spark):
