@@ -68,5 +68,19 @@ def delete(spark: SparkSession, path: str) -> None:
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str) -> DataFrame:
+    """Inner join with a written table that has each key once and the number of its rows in a column.
+
+    Keys with over a thousandth of all rows, of which there are fewer than a thousand, are broadcast, so that no task gets
+    all rows of one; the others are shuffled. Give it rows that may be read twice.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot, cold = (table.where(f"{count} * 1000 {sign} {total}") for sign in (">", "<="))
+    if hot.isEmpty():
+        return rows.join(table, on)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -1,15 +1,18 @@
 """Removal of repeated passages by prefix-partitioned suffix trees.
 
-A suffix matters here down to a depth of `window` words; two suffixes that agree so deep are a repeat. 1. Texts with the
-same words are settled by their digest: all but the smallest id's lose everything. 2. Of the grams of half a window, the
-least by hash in each window is its anchor; equal windows have equal anchors, so suffixes whose window has an anchor that
-no second document has can't repeat. That leaves a few percent of the suffixes and loses none. 3. The anchor is the
-prefix by which the others are split; neighbouring suffixes with one anchor travel as one segment. Tasks take whole
-prefix groups until their memory-sized batch is full and order its suffixes by prefix doubling, level by level of the
-truncated suffix tree; a class at depth `window` with a smaller document is a deep internal node, and its runs are the
-repeats. 4. A prefix that more than `most_documents` have is lengthened to the whole window: such suffixes are grouped by
-a 128-bit hash of it natively, combined before the shuffle, so a passage in a third of all documents stays spread out.
-5. Covered words are removed from the documents that have any.
+A passage matters here from `window` words on, so trees are cut off at that depth. 1. Texts with the same words are settled
+by their digest: all but the smallest id's lose everything. 2. Suffixes are sampled: the gram of half a window that is least
+by hash in a window is the window's anchor, and equal windows have equal anchors at equal places, so the suffixes that
+begin at anchors, each with the few words before it, stand for all windows. 3. Suffixes are split by a prefix of variable
+length. It has half a window's words at first; a prefix that one document has alone can't repeat and goes (which leaves a
+few percent of the suffixes), one that up to `most` documents have is a group that fits a task's memory, and one that more
+have is lengthened, to three quarters of a window and then to all of it, at which depth a subtree is a single node. A
+lengthened prefix doesn't reach every window around its anchor, so further suffixes that begin before the anchor are
+sampled for those (`split`). 4. A task builds the subtrees of its groups: sorted suffixes and the lengths of their common
+prefixes, whose intervals are the internal nodes, and the same leftwards. Where a node that is deep enough and the words to
+the left agree in as many words as a window has, its suffixes repeat there, and the smallest document keeps the passage.
+5. The nodes of whole windows, which a third of all documents may have, need their smallest document only: it is combined
+before the shuffle and joined back with hot nodes broadcast. 6. Covered words are removed from the documents that have any.
 
 Words are runs of characters other than space and \\t\\n\\v\\f\\r, compared as they are, by 64-bit hashes.
 """
@@ -18,13 +21,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import join_hot, materialise
 from .hashing import chunks, mix, rolling, word_hashes
 
 WINDOW = 50
@@ -32,6 +36,14 @@ WINDOW = 50
 MOST_DOCUMENTS = 1000
 #: Words that a task orders at once; a prefix group is never split over two batches.
 BATCH_WORDS = 300_000
+#: Bytes of suffixes that leave a task at once.
+BATCH_BYTES = 1 << 23
+
+
+def lengths(window: int) -> list[int]:
+    """The prefixes' lengths, one for each level."""
+    gram = window // 2
+    return sorted({gram, (gram + window) // 2, window})
 
 
 def anchors(h: np.ndarray, window: int) -> np.ndarray:
@@ -45,6 +57,50 @@ def anchors(h: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
+def anchor_runs(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors, leftmost where several are least, and how far before them (least, most) their windows begin."""
+    gram = window // 2
+    grams = rolling(h, gram)
+    place, width, want = np.arange(len(grams)), 1, window - gram + 1
+
+    def lower(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(grams[b] < grams[a], b, a)
+
+    while 2 * width <= want:
+        place = lower(place[:-width], place[width:])
+        width *= 2
+    if rest := want - width:
+        place = lower(place[: len(place) - rest], place[rest:])
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    last = np.append(first[1:], len(place)) - 1
+    return place[first], place[first] - last, place[first] - first
+
+
+def split(runs: tuple[np.ndarray, np.ndarray, np.ndarray], length: int, window: int) -> tuple[np.ndarray, ...]:
+    """Sampled suffixes for a prefix of that length: begin, least and most words before it that a window begins at, and the
+    anchor and range that they come from. A prefix of `length` lies in windows that begin up to window - length words
+    before it, so every so many words before the anchor there is another suffix."""
+    step = window - length + 1
+    place, least, most = runs
+    count = most // step - least // step + 1
+    of = np.repeat(np.arange(len(place)), count)
+    before = (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + (least // step)[of]) * step
+    low, high = np.maximum(least[of], before), np.minimum(most[of], before + step - 1)
+    return place[of] - before, low - before, high - before, place[of], low, high
+
+
+def suffixes(h: np.ndarray, window: int, level: int, hot: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The suffixes of a level whose prefixes on all levels above are hot: begin, least, most, and the prefix's hash."""
+    runs = anchor_runs(h, window)
+    for k, length in enumerate(lengths(window)[: level + 1]):
+        begin, least, most, *runs = split(runs, length, window)
+        key = rolling(h, length)[begin]
+        if k < level:
+            keep = np.isin(key, hot[k])
+            runs = [x[keep] for x in runs]
+    return begin, least, most, key
+
+
 def per_document(texts: list[bytes]) -> Iterator[np.ndarray]:
     h, owner, _, _ = word_hashes(texts)
     first = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
@@ -57,13 +113,15 @@ def profile(df: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, found = [], [], []
+            row = 0
             for part in chunks(batch.column(2)):
+                sizes, digests, found = [], [], []
                 for text, h in zip(part, per_document(part)):
                     sizes.append(len(h))
                     digests.append(hashlib.sha256(b" ".join(text.split())).hexdigest())
                     found.append(np.unique(anchors(h, window)).view(np.int64) if len(h) >= window else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "key", "n_words", "words_sha256", "anchors"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), batch.column(1).slice(row, len(part)), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "key", "n_words", "words_sha256", "anchors"])
+                row += len(part)
 
     return _keyed(df, id_col, text_col).mapInArrow(run, f"doc_id {kind}, key long, n_words long, words_sha256 string, anchors array<long>")
 
@@ -72,61 +130,137 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[f"`{id_col}`"].alias("doc_id"), F.xxhash64(df[f"`{text_col}`"]).alias("key"), df[f"`{text_col}`"].alias("text"))
 
 
-def segments(texts: DataFrame, kind: str, window: int) -> DataFrame:
-    """Runs of suffixes with one shared anchor: prefix, doc_id, key, start, words (hashes of the run and its last window)."""
+def _unsigned(values: pa.Scalar) -> np.ndarray:
+    return np.array(values.as_py(), dtype=np.int64).view(np.uint64)
+
+
+def _hot(values: pa.Scalar) -> list[np.ndarray]:
+    return [np.array(level, dtype=np.int64).view(np.uint64) for level in values.as_py()]
+
+
+def contents(h: np.ndarray, begin: np.ndarray, least: np.ndarray, most: np.ndarray, window: int) -> np.ndarray:
+    """A number for each suffix that is equal where the words around it, up to the ends of its windows, are."""
+    m = 0xD1342543DE82EF95
+    powers = np.full(len(h) + 1, m, dtype=np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    back = np.full(len(h) + 1, pow(m, -1, 1 << 64), dtype=np.uint64)
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    total = np.append(np.uint64(0), np.cumsum(h * powers[:-1]))
+    i, j = begin - most, begin + window - least
+    return mix((total[j] - total[i]) * back[i] + least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + most.astype(np.uint64))
+
+
+def segments(texts: DataFrame, kind: str, window: int, level: int) -> DataFrame:
+    """Suffixes with shared prefixes of the level that aren't hot: prefix, doc_id, key, begins, least, most, words (hashes
+    from the first window's begin to the last one's end). A document's suffixes with the same words travel as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted, row = batch.column(3), 0
-            prefix, take, start, words = [], [], [], []
+            row, held, size = 0, [], 0
+
+            def done() -> pa.RecordBatch:
+                columns = list(zip(*held)) or [[]] * 6
+                take = pa.array(columns[1], pa.int64())
+                named = {"prefix": pa.array(columns[0], pa.int64()), "doc_id": batch.column(0).take(take), "key": batch.column(1).take(take), "begins": pa.array(columns[2], pa.list_(pa.int64())), "least": pa.array(columns[3], pa.int32()), "most": pa.array(columns[4], pa.int32()), "words": pa.array(columns[5], pa.binary())}
+                return pa.RecordBatch.from_arrays(list(named.values()), names=list(named))
+
             for part in chunks(batch.column(2)):
                 for h in per_document(part):
-                    low = anchors(h, window)
-                    keep = np.isin(low, np.array(wanted[row].as_py(), dtype=np.int64).view(np.uint64))
-                    cuts = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
-                    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(low)]):
-                        if keep[i]:
-                            prefix.append(int(low[i : i + 1].view(np.int64)[0]))
-                            take.append(row)
-                            start.append(i)
-                            words.append(h[i : j + window - 1].tobytes())
+                    begin, least, most, key = suffixes(h, window, level, _hot(batch.column(4)[row]))
+                    some = np.flatnonzero(np.isin(key, _unsigned(batch.column(3)[row])))
+                    same = contents(h, begin[some], least[some], most[some], window)
+                    order = np.argsort(same, kind="stable")
+                    cuts = np.flatnonzero(np.append(True, np.diff(same[order]) != 0)) if len(some) else []
+                    for at in np.split(some[order], cuts[1:]) if len(some) else ():
+                        k = at[0]
+                        held.append((int(key[k : k + 1].view(np.int64)[0]), row, begin[at], int(least[k]), int(most[k]), h[begin[k] - most[k] : begin[k] + window - least[k]].tobytes()))
+                        size += len(held[-1][5]) + 8 * len(at)
+                        if size > BATCH_BYTES:
+                            yield done()
+                            held, size = [], 0
                     row += 1
-            at = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(prefix, pa.int64()), batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int64()), pa.array(words, pa.binary())], names=["prefix", "doc_id", "key", "start", "words"])
+            yield done()
 
-    return texts.select("doc_id", "key", "text", "cold").where(F.size("cold") > 0).mapInArrow(run, f"prefix long, doc_id {kind}, key long, start long, words binary")
+    return texts.select("doc_id", "key", "text", "cold", "hot").where(F.size("cold") > 0).mapInArrow(run, f"prefix long, doc_id {kind}, key long, begins array<long>, least int, most int, words binary")
 
 
-def classes(words: np.ndarray, depth: int) -> np.ndarray:
-    """For each suffix of at least that depth, its node there: equal numbers for equal beginnings."""
-    rank = np.unique(words, return_inverse=True)[1].astype(np.uint64)
-    width = 1
-    while 2 * width <= depth:
-        rank = np.unique(rank[:-width] * np.uint64(len(words)) + rank[width:], return_inverse=True)[1].astype(np.uint64)
-        width *= 2
-    if rest := depth - width:
-        rank = np.unique(rank[:-rest] * np.uint64(len(words)) + rank[rest:], return_inverse=True)[1]
-    return rank.astype(np.int64)
-
-
-def repeats(ids: np.ndarray, words: list[np.ndarray], window: int) -> list[tuple[int, int, int]]:
-    """(segment, first suffix, last suffix + 1) of runs whose windows a smaller id has too."""
-    sizes = np.array([len(w) for w in words])
-    first = np.cumsum(sizes) - sizes
-    node = classes(np.concatenate(words), window)
-    count = sizes - window + 1
-    of = np.repeat(np.arange(len(words)), count)
-    step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    node = node[first[of] + step]
+def longer(texts: DataFrame, kind: str, window: int, level: int) -> DataFrame:
+    """Prefixes of a level below hot ones: prefix, more (its hashes), doc_id, key, start. Distinct ones for each document
+    with start null, but on the last level, where they are windows, all of them with their starts."""
+    last = level == len(lengths(window)) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for part in chunks(batch.column(2)):
+                take, start, a, b = [], [], [], []
+                for h in per_document(part):
+                    begin, _, _, key = suffixes(h, window, level, _hot(batch.column(3)[row]))
+                    if not last:
+                        key, k = np.unique(key, return_index=True)
+                        begin = begin[k]
+                    a.append(key)
+                    b.append(rolling(mix(h), lengths(window)[level])[begin])
+                    start.append(begin)
+                    take.append(np.full(len(begin), row))
+                    row += 1
+                join = lambda x: pa.array(np.concatenate(x).view(np.int64), pa.int64())
+                at = join(take)
+                yield pa.RecordBatch.from_arrays([join(a), join(b), batch.column(0).take(at), batch.column(1).take(at), join(start)], names=["prefix", "more", "doc_id", "key", "start"])
+
+    return texts.select("doc_id", "key", "text", "hot").where("size(hot[size(hot) - 1]) > 0").mapInArrow(run, f"prefix long, more long, doc_id {kind}, key long, start long")
+
+
+def common(rows: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of words within each lead, and how many words each has in common with the one before it."""
+    order = np.lexsort((*rows.T[::-1], lead))
+    equal = np.ones((len(rows), rows.shape[1] + 1), dtype=bool)
+    equal[1:, :-1] = rows[order][1:] == rows[order][:-1]
+    equal[:, -1] = False
+    shared = equal.argmin(axis=1)
+    shared[0] = 0
+    shared[1:][lead[order][1:] != lead[order][:-1]] = -1
+    return order, shared
+
+
+def cut_at(order: np.ndarray, shared: np.ndarray, depth: int) -> np.ndarray:
+    """For each row the highest node of the tree that is at least so deep: equal numbers for rows below one node."""
+    node = np.empty(len(order), dtype=np.int64)
+    node[order] = np.cumsum(shared < depth)
+    return node
+
+
+def repeats(ids: np.ndarray, prefixes: np.ndarray, least: np.ndarray, most: np.ndarray, words: list[np.ndarray], window: int) -> list[tuple[int, int, int]]:
+    """(suffix, least, most words before it) of the windows that a smaller id has too, over the subtrees of whole prefixes."""
+    n, reach = len(words), int(most.max())
+    lone = np.arange(n, dtype=np.uint64)[:, None]  # words that a suffix lacks are like no other's
+    right, left = np.repeat(lone, window, axis=1), np.repeat(lone, max(reach, 1), axis=1)
+    for k, (w, m) in enumerate(zip(words, most.tolist())):
+        right[k, : len(w) - m] = w[m:]
+        left[k, :m] = w[:m][::-1]
+    rightwards, leftwards = common(right, prefixes), common(left, np.zeros(n, dtype=np.int64))
     rank = np.unique(ids, return_inverse=True)[1]
-    least = np.full(int(node.max()) + 1, len(ids), dtype=np.int64)
-    np.minimum.at(least, node, rank[of])
-    hit = np.flatnonzero(rank[of] > least[node])
-    if not len(hit):
-        return []
-    cuts = np.flatnonzero(np.append(True, (np.diff(hit) > 1) | (np.diff(of[hit]) > 0)))
-    last = np.append(cuts[1:], len(hit)) - 1
-    return list(zip(of[hit[cuts]].tolist(), step[hit[cuts]].tolist(), (step[hit[last]] + 1).tolist()))
+    first, last = np.full(n, window), np.full(n, -1)
+    for before in range(int(least.min()), reach + 1):
+        some = np.flatnonzero((least <= before) & (before <= most))
+        node = cut_at(*rightwards, window - before)[some] * (n + 1) + cut_at(*leftwards, before)[some]
+        node = np.unique(node, return_inverse=True)[1]
+        low = np.full(len(some), n, dtype=np.int64)
+        np.minimum.at(low, node, rank[some])
+        hit = some[rank[some] > low[node]]
+        first[hit] = np.minimum(first[hit], before)
+        last[hit] = before
+    return [(k, int(first[k]), int(last[k])) for k in np.flatnonzero(last >= 0)]
+
+
+def merged(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of equal length as few ranges."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    cuts = np.flatnonzero(np.append(True, starts[1:] > ends[:-1]))
+    return zip(starts[cuts].tolist(), ends[np.append(cuts[1:], len(starts)) - 1].tolist())
 
 
 def tree_ranges(table: DataFrame, kind: str, window: int) -> DataFrame:
@@ -136,9 +270,10 @@ def tree_ranges(table: DataFrame, kind: str, window: int) -> DataFrame:
         schema = None
 
         def done(rows: list[tuple]) -> pa.RecordBatch:
-            found = repeats(np.array([r[1] for r in rows]), [np.frombuffer(r[4], np.uint64) for r in rows], window)
-            columns = zip(*[(rows[k][1], rows[k][2], rows[k][3] + a, rows[k][3] + b + window - 1) for k, a, b in found]) if found else ([], [], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+            prefixes, docs, keys, begins, least, most, words = zip(*rows)
+            found = repeats(np.array(docs), np.array(prefixes), np.array(least), np.array(most), [np.frombuffer(w, np.uint64) for w in words], window)
+            out = [(docs[k], keys[k], a, b) for k, near, far in found for at in [np.array(begins[k])] for a, b in merged(at - far, at - near + window)]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)], schema=schema)
 
         rows, held = [], 0
         for batch in batches:
@@ -148,36 +283,11 @@ def tree_ranges(table: DataFrame, kind: str, window: int) -> DataFrame:
                     yield done(rows)
                     rows, held = [], 0
                 rows.append(row)
-                held += len(row[4]) // 8
+                held += len(row[6]) // 8
         if rows:
             yield done(rows)
 
-    return table.repartition("prefix").sortWithinPartitions("prefix").select("prefix", "doc_id", "key", "start", "words").mapInArrow(run, f"doc_id {kind}, key long, start long, end long")
-
-
-def hot_ranges(texts: DataFrame, kind: str, window: int) -> DataFrame:
-    """The same for prefixes that very many documents have, lengthened to the whole window."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wanted, row = batch.column(3), 0
-            take, start, a, b = [], [], [], []
-            for part in chunks(batch.column(2)):
-                for h in per_document(part):
-                    at = np.flatnonzero(np.isin(anchors(h, window), np.array(wanted[row].as_py(), dtype=np.int64).view(np.uint64)))
-                    a.append(rolling(h, window)[at])
-                    b.append(rolling(mix(h), window)[at])
-                    take.append(np.full(len(at), row))
-                    start.append(at)
-                    row += 1
-            at = pa.array(np.concatenate(take) if take else [], pa.int64())
-            join = lambda x, t: pa.array(np.concatenate(x).view(np.int64) if x else [], t)
-            yield pa.RecordBatch.from_arrays([join(a, pa.int64()), join(b, pa.int64()), batch.column(0).take(at), batch.column(1).take(at), join(start, pa.int64())], names=["a", "b", "doc_id", "key", "start"])
-
-    rows = texts.select("doc_id", "key", "text", "hot").where(F.size("hot") > 0).mapInArrow(run, f"a long, b long, doc_id {kind}, key long, start long")
-    rows = materialise(rows, "substring-hot")
-    least = rows.groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    return rows.join(least, ["a", "b"]).where("doc_id > least").select("doc_id", "key", "start", (F.col("start") + window).alias("end"))
+    return table.repartition("prefix").sortWithinPartitions("prefix").select("prefix", "doc_id", "key", "begins", "least", "most", "words").mapInArrow(run, f"doc_id {kind}, key long, start long, end long")
 
 
 def cut(texts: DataFrame, ranges: DataFrame, kind: str) -> DataFrame:
@@ -206,21 +316,37 @@ def cut(texts: DataFrame, ranges: DataFrame, kind: str) -> DataFrame:
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, most_documents: int = MOST_DOCUMENTS, with_text: bool = False) -> DataFrame:
     """One row per row: doc_id, n_words, n_removed, kept_sha256; with_text also kept_text, null where nothing was removed.
 
-    A word goes if a window of `window` consecutive words that covers it also starts in a document with a smaller id.
-    Null and empty texts have no words. Rows without an id lose nothing and take nothing; rows that share an id don't
-    take from each other; an empty table gives none; other columns are ignored.
+    A word goes if a window of `window` consecutive words (2 or more) that covers it also starts in a document with a
+    smaller id. Null and empty texts have no words. Rows without an id lose nothing and take nothing; rows that share an id
+    don't take from each other; an empty table gives none; other columns are ignored.
     """
+    if window < 2:
+        raise ValueError("a window has 2 words or more")
     kind = df.schema[id_col].dataType.simpleString()
     rows = materialise(profile(df, id_col, text_col, window), "substring-rows")
     long = rows.where(f"n_words >= {window} and doc_id is not null")
-    first = long.groupBy("words_sha256").agg(F.min("doc_id").alias("least"))
-    known = long.join(first, "words_sha256")
-    grams = known.where("doc_id = least").select("doc_id", "key", F.explode("anchors").alias("anchor"))
-    shared = grams.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select("anchor", (F.col("n") > most_documents).alias("hot"))
-    wanted = grams.join(shared, "anchor").groupBy("doc_id", "key").agg(F.collect_set(F.when(~F.col("hot"), F.col("anchor"))).alias("cold"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))  # at most a document's windows
-    texts = materialise(_keyed(df, id_col, text_col).join(wanted, ["doc_id", "key"]), "substring-texts")
-    ranges = tree_ranges(segments(texts, kind, window), kind, window).unionByName(hot_ranges(texts, kind, window))
-    done = cut(texts, ranges, kind)
+    first = materialise(long.groupBy("words_sha256").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "substring-first")
+    known = join_hot(long, first, ["words_sha256"], "n")
+    keys = known.where("doc_id = least").select("doc_id", "key", F.explode("anchors").alias("prefix"))
+    texts, ranges = None, []
+    for level in range(len(lengths(window))):
+        last = level == len(lengths(window)) - 1
+        on = ["prefix", "more"] if last else ["prefix"]
+        shared = materialise(keys.groupBy(*on).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b").select(*on, F.col("a").alias("least"), "n"), "substring-shared")
+        found = join_hot(keys, shared, on, "n")
+        if last:
+            ranges.append(found.where("doc_id > least").select("doc_id", "key", "start", (F.col("start") + window).alias("end")))
+            break
+        hot = F.col("n") > most_documents
+        wanted = found.groupBy("doc_id", "key").agg(F.collect_set(F.when(~hot, F.col("prefix"))).alias("cold"), F.collect_set(F.when(hot, F.col("prefix"))).alias("_hot"))  # at most a document's windows
+        given = _keyed(df, id_col, text_col).withColumn("hot", F.array().cast("array<array<bigint>>")) if texts is None else texts.drop("cold")
+        texts = materialise(given.join(wanted, ["doc_id", "key"]).withColumn("hot", F.array_append("hot", F.col("_hot"))).drop("_hot"), "substring-texts")
+        ranges.append(tree_ranges(segments(texts, kind, window, level), kind, window))
+        if shared.where(hot).isEmpty():
+            break
+        keys = materialise(longer(texts, kind, window, level + 1), "substring-keys")
+    texts = _keyed(df, id_col, text_col)
+    done = cut(texts, reduce(DataFrame.unionByName, ranges), kind)
     copies = known.where("doc_id > least").select("doc_id", "key", F.lit(True).alias("copy")).distinct()
     out = rows.join(done if with_text else done.drop("kept"), ["doc_id", "key"], "left").join(copies, ["doc_id", "key"], "left")
     copy = F.coalesce("copy", F.lit(False))
