@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Share of a slot's pages with one text that makes it template; pages that it takes, and how many of them must differ.
@@ -325,13 +325,16 @@ def count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def wrappers(counts: DataFrame) -> DataFrame:
-    """Per host with a template: its (slot, text) pairs, at most ten or so times the blocks of a page."""
+    """Per host with a template: its (slot, text) pairs, at most ten or so times the blocks of a page. By windows instead of
+    joins with itself, since what counts the slots is to run once."""
     counts = counts.groupBy("host", "slot", "text").agg(F.sum("n").alias("n"), F.bit_or("bits").alias("bits"))
-    slot = counts.where("text = 0 and slot != 0").select("host", "slot", F.col("n").alias("pages"), F.bit_count("bits").alias("differ"))
-    host = counts.where("text = 0 and slot = 0").select("host", F.col("n").alias("total"))
-    pairs = counts.where(f"text != 0 and n >= {LEAST_PAGES} and bit_count(bits) >= {LEAST_DIFFERENT}")
-    constant = pairs.join(slot, ["host", "slot"]).where(f"n >= {CONSTANT} * pages and 2 * bit_count(bits) >= differ")
-    return constant.join(host, "host").where(f"pages >= {LEAST_SLOT} * total").groupBy("host").agg(F.collect_list(F.struct("slot", "text")).alias("template"))
+    some = counts.where(f"text = 0 or n >= {LEAST_PAGES} and bit_count(bits) >= {LEAST_DIFFERENT}")
+    of_slot = Window.partitionBy("host", "slot")
+    pages, differ = (F.max(F.when(F.col("text") == 0, c)).over(of_slot) for c in (F.col("n"), F.bit_count("bits")))
+    constant = some.withColumns({"pages": pages, "differ": differ}).where(f"slot = 0 or text != 0 and n >= {CONSTANT} * pages and 2 * bit_count(bits) >= differ")
+    by_host = constant.groupBy("host").agg(F.max(F.when(F.col("slot") == 0, F.col("n"))).alias("total"), F.collect_list(F.when(F.col("slot") != 0, F.struct("slot", "text", "pages"))).alias("pairs"))
+    template = F.filter("pairs", lambda p: p["pages"] >= LEAST_SLOT * F.col("total"))
+    return by_host.select("host", F.transform(template, lambda p: F.struct(p["slot"].alias("slot"), p["text"].alias("text"))).alias("template")).where(F.size("template") > 0)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
