@@ -9,13 +9,15 @@ m log m steps rather than size times m.
 
 1. Documents with equal sets are one node. 2. Up to eight registers a band, as many bands as that gives, by the
 threshold (`banding`): documents that share a band are candidates (a pair at the threshold is missed once in 25,000 at
-most; a pair that isn't may still meet in step 3). 3. Candidates' coarse
-components, or their buckets where a component is large, or pairs of blocks of a bucket where the bucket is large, are
-compared within one bounded task: a likelihood that takes the registers where one is greater, less and equal jointly,
-given both sizes, rules out pairs far below the threshold, the rest are verified on full sets. Pairs that are already
-connected need no look. 4. Verified links' components are the answer.
-
-No pairs leave a task: it emits at most one edge a document.
+most; a pair that isn't may still meet in step 4). 3. Candidates' coarse components that are small are compared within one
+task. 4. In a large one, every document is first verified against the least document of each of its buckets, one pair a
+row; of a bucket, only those that this doesn't connect with most of it are compared with all of it, block by block, so a
+group of n near copies takes about n comparisons. 5. Comparing two documents is a joint estimate of their similarity from
+the registers where one is greater, less and equal, given both sizes: the likelihood's maximum. Pairs whose likelihood at
+the threshold is far below it are ruled out, the rest, the likeliest first, are verified on full sets. Pairs that are
+already connected need no look. 6. Verified links' components are the answer.
+
+A task emits at most one edge a document. Joins by digest, band and hub broadcast their hot keys.
 """
 
 from __future__ import annotations
@@ -25,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, pick
+from ._common import join_hot, materialise, pick
 from .components import components
 from .hashing import chunks, mix, shingle_sets
 
@@ -42,7 +44,11 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Log-likelihood by which a pair must be worse at the threshold than at its best to be ruled out (once in a million).
 DOUBT = 14.0
 #: Shingles and documents that one task compares; larger groups are cut.
-MOST_SHINGLES, MOST_NODES = 3_000_000, 3000
+MOST_SHINGLES, MOST_NODES = 3_000_000, 1000
+#: Pairs with one leader that go to one task.
+PAIRS_A_TASK = 1000
+#: Steps of the search for the likelihood's maximum; each narrows it to 0.62 of what it was.
+STEPS = 20
 
 
 def sketch(sets: list[np.ndarray]) -> np.ndarray:
@@ -101,22 +107,52 @@ def log_likelihood(j: np.ndarray, u: np.ndarray, more: np.ndarray, less: np.ndar
     return more * np.log(a) + less * np.log(b) + (REGISTERS - more - less) * np.log(np.clip(1 - a - b, 1e-9, 1))
 
 
+def estimate(u: np.ndarray, top: np.ndarray, more: np.ndarray, less: np.ndarray) -> np.ndarray:
+    """The similarity of maximum likelihood, by golden section (the logarithm has one peak between 0 and top)."""
+    g = (np.sqrt(5) - 1) / 2
+    low, high = np.zeros(len(u)), top.copy()
+    a, b = high - g * (high - low), low + g * (high - low)
+    at_a, at_b = log_likelihood(a, u, more, less), log_likelihood(b, u, more, less)
+    for _ in range(STEPS):
+        left = at_a >= at_b
+        low, high = np.where(left, low, a), np.where(left, b, high)
+        new = np.where(left, high - g * (high - low), low + g * (high - low))
+        at_new = log_likelihood(new, u, more, less)
+        a, b, at_a, at_b = np.where(left, new, b), np.where(left, a, new), np.where(left, at_new, at_b), np.where(left, at_a, at_new)
+    return (low + high) / 2
+
+
 def plausible(mine: np.ndarray, theirs: np.ndarray, size: int, sizes: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Which of `theirs` may have the similarity, and the registers in which each agrees."""
+    """Which of `theirs` may have the similarity, by number, and the estimate of each of these."""
     more, less = (mine > theirs).sum(axis=1), (mine < theirs).sum(axis=1)
-    same = REGISTERS - more - less
     u = size / (size + sizes)
     top = np.minimum(u / (1 - u), (1 - u) / u)  # of the similarity, for these sizes
-    best = np.minimum(same / REGISTERS, top)
     wanted = np.minimum(np.full(len(u), least), top)
-    return (best >= wanted) | (log_likelihood(wanted, u, more, less) >= log_likelihood(best, u, more, less) - DOUBT), same
+    at_wanted = log_likelihood(wanted, u, more, less)
+    # any point's likelihood is a lower bound of the maximum, so most are ruled out before it is searched
+    near = np.minimum((REGISTERS - more - less) / REGISTERS, top)
+    some = np.flatnonzero((near >= wanted) | (at_wanted >= log_likelihood(near, u, more, less) - DOUBT))
+    best = estimate(u[some], top[some], more[some], less[some])
+    may = (best >= wanted[some]) | (at_wanted[some] >= log_likelihood(best, u[some], more[some], less[some]) - DOUBT)
+    return some[may], best[may]
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the similarity."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return False
+    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def link(ids: np.ndarray, sets: list[np.ndarray], registers: np.ndarray, percent: int = PERCENT, sides: np.ndarray | None = None) -> np.ndarray:
-    """The least id that each document is connected with inside this group. With `sides` only pairs across them count."""
+    """The least id that each document is connected with inside this group; equal ids are connected from the start. With
+    `sides` only pairs across them count."""
     n = len(ids)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    label = np.unique(ids, return_inverse=True)[1]  # by the order of ids; the least label is the least id
+    order, label = np.unique(ids, return_inverse=True)  # by the order of ids; the least label is the least id
     for i in range(n):
         rest = np.arange(i + 1, n)
         rest = rest[(label[rest] != label[i]) & (100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i]))]
@@ -124,66 +160,115 @@ def link(ids: np.ndarray, sets: list[np.ndarray], registers: np.ndarray, percent
             rest = rest[sides[rest] != sides[i]]
         if not len(rest):
             continue
-        may, same = plausible(registers[i], registers[rest], int(sizes[i]), sizes[rest], percent / 100)
-        for k in rest[may][np.argsort(-same[may], kind="stable")]:
-            if label[k] == label[i]:
-                continue
-            a, b = (sets[i], sets[k]) if sizes[i] <= sizes[k] else (sets[k], sets[i])
-            at = np.searchsorted(b, a)
-            common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-            if 100 * common >= percent * (sizes[i] + sizes[k] - common):
+        may, best = plausible(registers[i], registers[rest], int(sizes[i]), sizes[rest], percent / 100)
+        for k in rest[may][np.argsort(-best, kind="stable")]:
+            if label[k] != label[i] and similar(sets[i], sets[k], percent):
                 low, high = sorted((label[i], label[k]))
                 label[label == high] = low
-    order = np.unique(ids)
     return order[label]
 
 
 def signatures(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of the set, its band keys (none for an empty set)."""
+    """Per row: doc_id, n_shingles, digest of the set, its band keys (none for an empty set).
+
+    Null and empty texts have empty sets; repeated rows and null ids are kept; an empty table gives none.
+    """
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, bands = [], [], []
+            row = 0
             for part in chunks(batch.column(1)):
                 sets = shingle_sets([t.lower() for t in part], width)  # of bytes: A-Z alone
                 keys = band_keys(sketch(sets), percent)
-                sizes += [len(s) for s in sets]
-                digests += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                bands += [k if len(s) else [] for s, k in zip(sets, keys)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+                sizes = [len(s) for s in sets]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                bands = [k if len(s) else [] for s, k in zip(sets, keys)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+                row += len(part)
 
     return pick(df, doc_id=id_col, text=text_col).mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, bands array<long>")
 
 
-def with_groups(nodes: DataFrame) -> DataFrame:
-    """(node, grp, side) for candidates: which bounded groups each is compared in. side: -1, or its block of two."""
-    keys = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("band", "least")
-    held = materialise(keys.join(shared, "band"), "near-buckets")
-    coarse = materialise(components(held.select(F.col("node").alias("a"), F.col("least").alias("b"))), "near-coarse")
-    sizes = held.select("node", "n_shingles").distinct().join(coarse, "node")
-    weight = sizes.groupBy("component").agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("n"))
-    fits = (F.col("shingles") <= MOST_SHINGLES) & (F.col("n") <= MOST_NODES)
-    whole = sizes.join(weight.where(fits), "component").select("node", F.struct(F.col("component").cast("string").alias("of"), F.lit(-1).alias("i"), F.lit(-1).alias("j")).alias("grp"), F.lit(-1).alias("side"))
-    # by bucket where the component is large, by pairs of blocks where the bucket is
-    big = held.join(coarse, "node").join(weight.where(~fits).select("component"), "component", "left_semi")
-    load = big.groupBy("band").agg(F.greatest(F.ceil(F.sum("n_shingles") * 2 / MOST_SHINGLES), F.ceil(F.count("*") * 2 / MOST_NODES)).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node", F.lit(17)), F.col("blocks")).cast("int")
-    cut = big.join(load, "band").withColumn("mine", F.when(F.col("blocks") > 2, block).otherwise(F.lit(-1)))
-    one = cut.where("mine < 0").select("node", F.struct(F.concat(F.lit("b"), "band").alias("of"), F.lit(-1).alias("i"), F.lit(-1).alias("j")).alias("grp"), F.lit(-1).alias("side"))
-    pairs = cut.where("mine >= 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("node", F.struct(F.concat(F.lit("b"), "band").alias("of"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).alias("grp"), F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"))
-    return materialise(whole.union(one).union(pairs), "near-groups")
-
-
-def links(df: DataFrame, groups: DataFrame, id_col: str, text_col: str, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """Edges (a, b) from each candidate to the least document that it is connected with in a group."""
+def sets_of(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(node, shingles, registers) of the documents that are nodes."""
     kind = df.schema[id_col].dataType.simpleString()
 
-    def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for part in chunks(batch.column(1)):
+                sets = shingle_sets([t.lower() for t in part], width)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in sketch(sets)], pa.binary())], names=["node", "shingles", "registers"])
+                row += len(part)
+
+    texts = pick(df, node=id_col, text=text_col).join(nodes.select("node").distinct(), "node", "left_semi")
+    return texts.mapInArrow(run, f"node {kind}, shingles binary, registers binary")
+
+
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(node, n_shingles, band, least) of the bands that several nodes share."""
+    keys = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n")).where("least != most").drop("most")
+    return materialise(join_hot(keys, materialise(shared, "near-shared"), ["band"], "n").drop("n"), "near-buckets")
+
+
+def leader_links(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) from nodes to the least ones of their buckets, verified; a leader of many is dealt out by salt."""
+    kind = big.schema["node"].dataType.simpleString()
+    pairs = big.where("node != least").select("node", F.col("least").alias("leader")).distinct()
+    salts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / PAIRS_A_TASK).cast("int").alias("salts"))
+    mine = pairs.join(sets.select("node", "shingles"), "node").withColumn("deal", F.xxhash64("node"))
+    leaders = salts.join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("theirs")), "leader").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    most = salts.agg(F.max("salts")).first()[0] or 1
+    if most > 1:  # each pair needs its leader's number of salts; those of leaders with several are few
+        several = F.broadcast(salts.where("salts > 1"))  # at most a thousandth of the pairs, 12 bytes each
+        mine = mine.join(several, "leader", "left").withColumn("salt", F.pmod("deal", F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    else:
+        mine = mine.withColumn("salt", F.lit(0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for part in chunks(batch.column(1)) for s in shingle_sets([t.lower() for t in part], width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in sketch(sets)], pa.binary())], names=["node", "shingles", "registers"])
+            hit = [similar(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), percent) for a, b in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    both = mine.join(leaders.drop("salts"), ["leader", "salt"]).select("node", "leader", "shingles", "theirs")
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def group(of: str | Column, i: Column | int = -1, j: Column | int = -1) -> Column:
+    return F.struct((F.lit(of) if isinstance(of, str) else of).alias("of"), (F.lit(i) if isinstance(i, int) else i).cast("int").alias("i"), (F.lit(j) if isinstance(j, int) else j).cast("int").alias("j")).alias("grp")
+
+
+def block_groups(big: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, label, grp, side): for each bucket the comparisons that are left once `labels` (node, label) are connected.
+
+    Nodes of the label that most of the bucket has are settled, the others open. A bucket without open nodes needs nothing;
+    a small one is one group; else open blocks are paired with all blocks, settled ones with open ones alone.
+    """
+    rows = big.join(labels, "node")
+    first = rows.groupBy("band", "label").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    first = materialise(first.select("band", F.col("top.label").alias("settled"), "n"), "near-settled")
+    rows = materialise(join_hot(rows, first, ["band"], "n").withColumn("open", F.col("label") != F.col("settled")).drop("n", "settled", "least"), "near-big")
+    need = lambda o: F.greatest(F.ceil(F.sum(F.when(o, F.col("n_shingles"))) * 2 / MOST_SHINGLES), F.ceil(F.count(F.when(o, 1)) * 2 / MOST_NODES), F.lit(0)).cast("int")
+    load = rows.groupBy("band").agg(need(F.col("open")).alias("opens"), need(~F.col("open")).alias("settles"), F.count("*").alias("n")).where("opens > 0")
+    cut = join_hot(rows, materialise(load, "near-load"), ["band"], "n").drop("n")
+    small = F.col("opens") + F.col("settles") <= 2
+    name = F.concat(F.lit("b"), F.col("band"))
+    one = cut.where(small).select("node", "label", group(name), F.lit(-1).alias("side"))
+    large = cut.where(~small).withColumn("mine", F.pmod(F.xxhash64("node", F.lit(17)), F.greatest(F.when(F.col("open"), F.col("opens")).otherwise(F.col("settles")), F.lit(1))).cast("int"))
+    other = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("opens") - 1)))
+    among = other.where("open").select("node", "label", group(name, F.least("mine", "other"), F.greatest("mine", "other")), F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine")).alias("side"))
+    name = F.concat(F.lit("s"), F.col("band"))
+    settled = other.where("not open").select("node", "label", group(name, F.col("mine"), F.col("other")), F.lit(0).alias("side"))
+    against = large.where("open and settles > 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("settles") - 1))).select("node", "label", group(name, F.col("other"), F.col("mine")), F.lit(1).alias("side"))
+    return one.unionByName(among).unionByName(settled).unionByName(against)
+
+
+def links(sets: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) from the label of each candidate (node, label, grp, side) to the least one that it is connected with
+    in a group. Nodes with empty sets must not be among them; repeated edges may come out."""
+    kind = groups.schema["label"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(rows: list[tuple]) -> pa.RecordBatch:
@@ -195,8 +280,8 @@ def links(df: DataFrame, groups: DataFrame, id_col: str, text_col: str, percent:
 
         schema, key, rows = None, None, []
         for batch in batches:
-            schema = schema or pa.schema([("a", batch.schema.field("node").type), ("b", batch.schema.field("node").type)])
-            for grp, *row in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("grp", "node", "shingles", "registers", "side")]):
+            schema = schema or pa.schema([("a", batch.schema.field("label").type), ("b", batch.schema.field("label").type)])
+            for grp, *row in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("grp", "label", "shingles", "registers", "side")]):
                 if grp != key and rows:
                     yield done(rows)
                     rows = []
@@ -205,12 +290,31 @@ def links(df: DataFrame, groups: DataFrame, id_col: str, text_col: str, percent:
         if rows:
             yield done(rows)
 
-    texts = pick(df, node=id_col, text=text_col).join(groups.select("node").distinct(), "node", "left_semi")
-    sets = texts.mapInArrow(prepare, f"node {kind}, shingles binary, registers binary")
-    rows = sets.join(groups, "node").select("grp", "node", "shingles", "registers", "side")
+    rows = sets.join(groups, "node").select("grp", "node", "label", "shingles", "registers", "side")
     return rows.repartition("grp").sortWithinPartitions("grp", "node").mapInArrow(compare, f"a {kind}, b {kind}")
 
 
+def candidate_links(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> DataFrame:
+    """Edges (a, b) between nodes (node, n_shingles, bands) of other sets; their components are those of all links."""
+    held = buckets(nodes)
+    coarse = materialise(components(held.select(F.col("node").alias("a"), F.col("least").alias("b"))), "near-coarse")
+    sizes = held.select("node", "n_shingles").distinct().join(coarse, "node")
+    weight = sizes.groupBy("component").agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("n"))
+    large = materialise(weight.where((F.col("shingles") > MOST_SHINGLES) | (F.col("n") > MOST_NODES)).select("component"), "near-large")  # at most a thousandth of the nodes, and such as have many shingles
+    whole = sizes.join(large, "component", "left_anti").select("node", F.col("node").alias("label"), group(F.col("component").cast("string")), F.lit(-1).alias("side"))
+    if large.isEmpty():
+        groups = materialise(whole, "near-groups")
+        return links(sets_of(df, groups, id_col, text_col, width), groups, percent)
+    members = materialise(coarse.join(large, "component", "left_semi").select("node"), "near-members")
+    big = held.join(members, "node", "left_semi")
+    sets = materialise(sets_of(df, sizes, id_col, text_col, width), "near-sets")
+    led = materialise(leader_links(big, sets, percent), "near-led")
+    found = components(led)
+    labels = members.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
+    groups = materialise(whole.unionByName(block_groups(big, materialise(labels, "near-labels"))), "near-groups")
+    return links(sets, groups, percent).unionByName(led)
+
+
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """One row per row: doc_id, n_shingles, component_id (the least id reachable), kept (doc_id is that id).
 
@@ -220,10 +324,9 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = materialise(signatures(df, id_col, text_col, width, percent), "near-rows")
     some = rows.where("n_shingles > 0 and doc_id is not null")
-    first = some.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    known = materialise(some.join(first, "digest"), "near-nodes")
-    groups = with_groups(known.where("doc_id = node").select("node", "n_shingles", "bands"))
-    edges = links(df, groups, id_col, text_col, percent, width)
+    first = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "near-first")
+    known = materialise(join_hot(some, first, ["digest"], "n").drop("n"), "near-nodes")
+    edges = candidate_links(df, known.where("doc_id = node").select("node", "n_shingles", "bands"), id_col, text_col, percent, width)
     same = known.where("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     found = components(edges.union(same))
     joined = rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -231,7 +334,8 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row of each component, with the columns it came with; of rows that share an id, one."""
+    """One row of each component, with the columns it came with; of rows that share an id, the one whose text has the least
+    hash. Rows without an id, and those with empty sets, stay; an empty table gives none."""
     gone = materialise(near_components(df, id_col, text_col, percent), "near-marks").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min("kept").alias("_kept")).where("doc_id is not null and (not _kept or _n > 1)")
     repeated = gone.where("_kept")
     key = F.col(f"`{id_col}`")
