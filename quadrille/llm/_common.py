@@ -34,6 +34,16 @@ def native_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
 
 
+#: Rows and bytes of long texts that go to a Python worker at once.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to sizes that suit whole texts. Results are lazy, so the settings have to stay."""
+    for name, value in ARROW.items():
+        spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share. Without spark.checkpoint.dir only a local master gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -68,8 +78,8 @@ def delete(spark: SparkSession, path: str) -> None:
         jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str) -> DataFrame:
-    """Inner join with a written table that has each key once and the number of its rows in a column.
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str, how: str = "inner") -> DataFrame:
+    """Inner or left join with a written table that has each key once and the number of its rows in a column.
 
     Keys with over a thousandth of all rows, of which there are fewer than a thousand, are broadcast, so that no task gets
     all rows of one; the others are shuffled. Give it rows that may be read twice.
@@ -77,10 +87,6 @@ def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str) -> Da
     total = table.agg(F.sum(count)).first()[0] or 0
     hot, cold = (table.where(f"{count} * 1000 {sign} {total}") for sign in (">", "<="))
     if hot.isEmpty():
-        return rows.join(table, on)
+        return rows.join(table, on, how)
     rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
-    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
-
-
-def partitions_of(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on, how))

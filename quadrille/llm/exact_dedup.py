@@ -1,11 +1,13 @@
 """Exact deduplication as a stateful stream.
 
 `groups_of` is the streaming operator: keyed state in RocksDB on disk, without a watermark and so without expiry, holds
-for each digest the stable identifier of the row to keep, that row's content locator and the number of rows. It takes
-any stream of records (digest, n_bytes, doc_id, locator). `group_table` runs it to the end over a written table of
-records and leaves the groups as a table. A digest met again is only a candidate: the full bytes of all its rows are
-then compared (least text against greatest text per digest, combined before the shuffle, so a text that a third of the
-rows share moves once per task). Should two texts ever share a digest, their rows are grouped by the texts themselves.
+for each digest the stable identifier of the row to keep, its locator, the locator of the content that was met first, and
+the number of rows. A locator is a file and a row in it, so content is found again by it. It takes any stream of records
+(digest, n_bytes, doc_id, locator). `group_table` feeds it the records of a table, some files a round, and leaves the
+groups as a table. A digest met again is only a hit: in the batch that met it, the full bytes of the batch's rows with that
+digest are compared with the content that the state points to (as least and greatest text per digest, combined before the
+shuffle, so a text that a third of the rows share moves once a task). Should two texts ever share a digest, their rows are
+grouped by the texts themselves.
 
 Of equal texts the row with the largest id stays; null texts count as empty, null ids as smaller than any; of rows that
 share both, one stays.
@@ -15,26 +17,59 @@ from __future__ import annotations
 
 import contextlib
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, new_path
+from ._common import join_hot, materialise, new_path
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: Files of records taken in by a micro-batch.
-FILES_PER_BATCH = 4096
-#: Repeated digests that are broadcast, at most: 16 bytes each in the tasks' hash table.
+#: Files whose rows are taken in by a round, about.
+FILES_PER_ROUND = 4096
+#: Repeated digests that are broadcast, at most: 8 bytes each in the tasks' hash table.
 MOST_BROADCAST = 1_000_000
+#: Plans whose rows are rows of files, one for one.
+_OF_FILES = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
 
-def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    text = F.coalesce(df[f"`{text_col}`"], F.lit(""))
-    return df.select(df[f"`{id_col}`"].alias("doc_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"), F.monotonically_increasing_id().alias("locator"))
+def digest_of(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def _is_of_files(df: DataFrame) -> bool:
+    todo = [df._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in _OF_FILES:
+            return False
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return "_metadata" not in df.columns
+
+
+def content_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_round: int = FILES_PER_ROUND) -> tuple[DataFrame, int]:
+    """(doc_id, text, locator), and the number of rounds. What isn't a plain read of Parquet files is written to some first."""
+    rows = df.select(df[f"`{id_col}`"].alias("doc_id"), F.coalesce(df[f"`{text_col}`"], F.lit("")).alias("text"))
+    located = None
+    if _is_of_files(df):
+        with contextlib.suppress(AnalysisException):  # files of another format have no row numbers
+            located = rows.select("*", "_metadata.file_path", "_metadata.row_index")
+            located.schema  # noqa: B018
+    if located is None:
+        located = materialise(rows, "dedup-content").select("*", "_metadata.file_path", "_metadata.row_index")
+    rounds = -(-len(located.inputFiles()) // files_per_round) or 1
+    file = F.xxhash64("file_path")
+    return located.select("doc_id", "text", F.struct(F.pmod(file, F.lit(rounds)).cast("int").alias("round"), file.alias("file"), F.col("row_index").alias("row")).alias("locator")), rounds
+
+
+def records(content: DataFrame) -> DataFrame:
+    return content.select("doc_id", digest_of(F.col("text")).alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"), "locator")
 
 
 def groups_of(stream: DataFrame) -> DataFrame:
-    """Per digest and length: keep (identifier and locator of the row to keep) and group_size. For streams in update mode."""
-    return stream.groupBy("digest", "n_bytes").agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.count("*").alias("group_size"))
+    """Per digest and length: keep (identifier and locator of the row to keep), at (locator of the first content) and
+    group_size. For streams in update mode; rounds come in order, so the first content stays the first."""
+    return stream.groupBy("digest", "n_bytes").agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.min("locator").alias("at"), F.count("*").alias("group_size"))
 
 
 @contextlib.contextmanager
@@ -49,37 +84,72 @@ def _settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def group_table(table: DataFrame, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Groups of the records written under `path`, of which `table` is the batch view."""
-    spark = table.sparkSession
-    out = new_path(spark, "dedup-groups")
-    spark.createDataFrame([], groups_of(table).schema).withColumn("batch", F.lit(0).cast("long")).write.parquet(out)
+def group_table(content: DataFrame, rounds: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Groups of the content's rows, whose records are written under `path`, and the digests that several texts share."""
+    spark = content.sparkSession
+    schema = records(content).schema
+    out, clashed, state = (new_path(spark, f"dedup-{name}") for name in ("groups", "clashes", "state"))
+    empty = spark.createDataFrame([], schema)
+    groups_of(empty).withColumn("batch", F.lit(0).cast("long")).write.parquet(out)
+    empty.select("digest").write.parquet(clashed)
+
+    def take(part: DataFrame):
+        def run(batch: DataFrame, k: int) -> None:
+            batch.withColumn("batch", F.lit(k).cast("long")).write.mode("append").parquet(out)
+            hits = spark.read.parquet(out).where(f"batch = {k} and group_size > 1").select("digest", "at")
+            clashing(content, part, hits).write.mode("append").parquet(clashed)
+
+        return run
+
     with _settings(spark, **{"spark.sql.streaming.stateStore.providerClass": PROVIDER, "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false", "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true", "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}):
-        stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-        write = lambda batch, k: batch.withColumn("batch", F.lit(k).cast("long")).write.mode("append").parquet(out)
-        query = groups_of(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", new_path(spark, "dedup-state")).trigger(availableNow=True).start()
-        query.awaitTermination()
-    found = spark.read.parquet(out)
+        for k in range(rounds):
+            part = content.where(F.col("locator.round") == k) if rounds > 1 else content
+            records(part).write.mode("append").parquet(path)
+            stream = spark.readStream.schema(schema).parquet(path)
+            query = groups_of(stream).writeStream.outputMode("update").foreachBatch(take(part)).option("checkpointLocation", state).trigger(availableNow=True).start()
+            query.awaitTermination()
     # a batch that was run again, or a digest in several batches: its last state counts
-    return found.groupBy("digest", "n_bytes").agg(F.max("keep").alias("keep"), F.max("group_size").alias("group_size"))
+    last = spark.read.parquet(out).groupBy("digest", "n_bytes").agg(F.max("keep").alias("keep"), F.max("group_size").alias("group_size"))
+    return last, spark.read.parquet(clashed).distinct()
+
 
+def clashing(content: DataFrame, part: DataFrame, hits: DataFrame) -> DataFrame:
+    """Digests of hits (digest, at) of which a row of the part has other bytes than the content at the locator.
 
-def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    Up to MOST_BROADCAST hits (8 bytes each) are sent to the tasks, so that only hits' texts move; beyond that the texts
+    are joined with them by a shuffle. A chance hit of the short hash only adds a row to the comparison.
+    """
+    near = F.broadcast if hits.count() <= MOST_BROADCAST else (lambda df: df)
+    texts = part.select(digest_of(F.col("text")).alias("digest"), "text").withColumn("short", F.xxhash64("digest"))
+    texts = texts.join(near(hits.select(F.xxhash64("digest").alias("short"))), "short", "left_semi")
+    mine = texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    known = content.withColumn("short", F.xxhash64("locator.file", "locator.row")).join(near(hits.select(F.xxhash64("at.file", "at.row").alias("short"))), "short", "left_semi")
+    known = known.select("locator", F.col("text").alias("known")).join(hits.withColumnRenamed("at", "locator"), "locator")
+    return mine.join(known, "digest").where("a != known or b != known").select("digest").distinct()
+
+
+def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_round: int = FILES_PER_ROUND) -> DataFrame:
     """One row per row: doc_id, keep_id, group_size, kept, text_sha256.
 
     An empty table gives none; other columns are ignored.
     """
     spark = df.sparkSession
     path = new_path(spark, "dedup-records")
-    records(df, id_col, text_col).write.parquet(path)
-    table = spark.read.parquet(path)
-    repeated = materialise(group_table(table, path).where("group_size > 1"), "dedup-repeated").select("digest", "n_bytes", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_at"), "group_size")
-    clashes = clashing(df, repeated, text_col)
+    content, rounds = content_of(df, id_col, text_col, files_per_round)
+    groups, clashes = group_table(content, rounds, path)
+    table = spark.read.schema(records(content).schema).parquet(path)
+    repeated = materialise(groups.where("group_size > 1").select("digest", "n_bytes", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_at"), "group_size"), "dedup-repeated")
+    on = ["digest", "n_bytes"]
     if clashes.isEmpty():
-        joined = table.join(repeated, ["digest", "n_bytes"], "left")
+        joined = join_hot(table, repeated, on, "group_size", "left")
     else:  # digests of several texts: tell them apart by the texts
-        joined = by_text(df, table, repeated, clashes, id_col, text_col)
-    alone = F.col("group_size").isNull()
+        clashes = materialise(clashes, "dedup-clashing")
+        odd = materialise(content.withColumns({"digest": digest_of(F.col("text")), "n_bytes": F.octet_length("text").cast("long")}).join(clashes, "digest", "left_semi"), "dedup-odd")
+        split = odd.groupBy(*on, "text").agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.count("*").alias("group_size"))
+        split = materialise(split.select(*on, "text", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_at"), "group_size"), "dedup-split")
+        plain = join_hot(table.join(clashes, "digest", "left_anti"), repeated, on, "group_size", "left")
+        joined = plain.unionByName(join_hot(odd, split, [*on, "text"], "group_size").drop("text"))
+    alone = F.col("keep_at").isNull()
     return joined.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -89,35 +159,14 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     )
 
 
-def clashing(df: DataFrame, repeated: DataFrame, text_col: str) -> DataFrame:
-    """Digests whose rows' bytes differ: the check on every hit.
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with the columns they came with.
 
-    Up to MOST_BROADCAST repeated digests (8 bytes each) are sent to the tasks, so that only hits' texts move; beyond
-    that the texts are joined with them by a shuffle. A chance hit of the short hash only adds a row to the comparison.
+    Of rows that share id and text any one stays: they differ in other columns at most. An empty table gives none.
     """
-    text = F.coalesce(df[f"`{text_col}`"], F.lit(""))
-    rows = df.select(F.sha2(text, 256).alias("digest"), text.alias("text")).withColumn("short", F.xxhash64("digest"))
-    short = repeated.select(F.xxhash64("digest").alias("short"))
-    rows = rows.join(F.broadcast(short) if repeated.count() <= MOST_BROADCAST else short, "short", "left_semi")
-    return rows.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
-
-
-def by_text(df: DataFrame, table: DataFrame, repeated: DataFrame, clashes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """As the join in mark(), with rows of clashing digests grouped by digest and text."""
-    text = F.coalesce(df[f"`{text_col}`"], F.lit(""))
-    rows = df.select(df[f"`{id_col}`"].alias("doc_id"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    odd = materialise(rows.join(clashes, "digest", "left_semi").withColumn("locator", F.monotonically_increasing_id()), "dedup-clashes")
-    split = odd.groupBy("digest", "n_bytes", "text").agg(F.max(F.struct("doc_id", "locator")).alias("keep"), F.count("*").alias("group_size"))
-    fixed = odd.join(split, ["digest", "n_bytes", "text"]).select("digest", "n_bytes", "doc_id", "locator", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_at"), "group_size")
-    plain = table.join(clashes, "digest", "left_anti").join(repeated, ["digest", "n_bytes"], "left")
-    return plain.unionByName(fixed)
-
-
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns they came with."""
     marked = materialise(mark(df, id_col, text_col), "dedup-marks")
     gone = marked.where("not kept").select(F.col("doc_id").alias("_q_id"), F.col("text_sha256").alias("_q_digest"), (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("_q_twin")).distinct()
-    rows = df.withColumn("_q_text_digest", F.sha2(F.coalesce(df[f"`{text_col}`"], F.lit("")), 256))
+    rows = df.withColumn("_q_text_digest", digest_of(F.coalesce(df[f"`{text_col}`"], F.lit(""))))
     same = rows[f"`{id_col}`"].eqNullSafe(gone["_q_id"]) & (rows["_q_text_digest"] == gone["_q_digest"])
     twins = gone.where("_q_twin")
     left = rows.join(gone, same, "left_anti")

@@ -5,16 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_model, quality_rules, secrets, substring_dedup
-
-#: Rows of long texts that go to a Python worker at once.
-ARROW_ROWS = "1000"
+from ._common import bound_batches
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
