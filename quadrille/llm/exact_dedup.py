@@ -93,11 +93,11 @@ def group_table(content: DataFrame, rounds: int, path: str) -> tuple[DataFrame,
     groups_of(empty).withColumn("batch", F.lit(0).cast("long")).write.parquet(out)
     empty.select("digest").write.parquet(clashed)
 
-    def take(part: DataFrame):
+    def take(part: DataFrame, k_round: int):
         def run(batch: DataFrame, k: int) -> None:
             batch.withColumn("batch", F.lit(k).cast("long")).write.mode("append").parquet(out)
             hits = spark.read.parquet(out).where(f"batch = {k} and group_size > 1").select("digest", "at")
-            clashing(content, part, hits).write.mode("append").parquet(clashed)
+            clashing(content, part, hits, k_round).write.mode("append").parquet(clashed)
 
         return run
 
@@ -106,26 +106,29 @@ def group_table(content: DataFrame, rounds: int, path: str) -> tuple[DataFrame,
             part = content.where(F.col("locator.round") == k) if rounds > 1 else content
             records(part).write.mode("append").parquet(path)
             stream = spark.readStream.schema(schema).parquet(path)
-            query = groups_of(stream).writeStream.outputMode("update").foreachBatch(take(part)).option("checkpointLocation", state).trigger(availableNow=True).start()
+            query = groups_of(stream).writeStream.outputMode("update").foreachBatch(take(part, k)).option("checkpointLocation", state).trigger(availableNow=True).start()
             query.awaitTermination()
     # a batch that was run again, or a digest in several batches: its last state counts
     last = spark.read.parquet(out).groupBy("digest", "n_bytes").agg(F.max("keep").alias("keep"), F.max("group_size").alias("group_size"))
     return last, spark.read.parquet(clashed).distinct()
 
 
-def clashing(content: DataFrame, part: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests of hits (digest, at) of which a row of the part has other bytes than the content at the locator.
+def clashing(content: DataFrame, part: DataFrame, hits: DataFrame, k_round: int = 0) -> DataFrame:
+    """Digests of hits (digest, at) of which a row of the round's part has other bytes than the content at the locator.
 
-    Up to MOST_BROADCAST hits (8 bytes each) are sent to the tasks, so that only hits' texts move; beyond that the texts
-    are joined with them by a shuffle. A chance hit of the short hash only adds a row to the comparison.
+    Where the locator points to an earlier round, that content is fetched; else it's one of the part's rows. Up to
+    MOST_BROADCAST hits (8 bytes each) are sent to the tasks, so that only hits' texts move; beyond that the texts are
+    joined with them by a shuffle. A chance hit of the short hash only adds a row to the comparison.
     """
     near = F.broadcast if hits.count() <= MOST_BROADCAST else (lambda df: df)
     texts = part.select(digest_of(F.col("text")).alias("digest"), "text").withColumn("short", F.xxhash64("digest"))
-    texts = texts.join(near(hits.select(F.xxhash64("digest").alias("short"))), "short", "left_semi")
-    mine = texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
-    known = content.withColumn("short", F.xxhash64("locator.file", "locator.row")).join(near(hits.select(F.xxhash64("at.file", "at.row").alias("short"))), "short", "left_semi")
-    known = known.select("locator", F.col("text").alias("known")).join(hits.withColumnRenamed("at", "locator"), "locator")
-    return mine.join(known, "digest").where("a != known or b != known").select("digest").distinct()
+    texts = texts.join(near(hits.select(F.xxhash64("digest").alias("short"))), "short", "left_semi").select("digest", "text")
+    if k_round:
+        before = hits.where(F.col("at.round") < k_round)
+        known = content.where(F.col("locator.round") < k_round).withColumn("short", F.xxhash64("locator.file", "locator.row"))
+        known = known.join(near(before.select(F.xxhash64("at.file", "at.row").alias("short"))), "short", "left_semi")
+        texts = texts.unionByName(known.select(digest_of(F.col("text")).alias("digest"), "text"))
+    return texts.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
 
 
 def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", files_per_round: int = FILES_PER_ROUND) -> DataFrame:

@@ -44,7 +44,7 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 #: Log-likelihood by which a pair must be worse at the threshold than at its best to be ruled out (once in a million).
 DOUBT = 14.0
 #: Shingles and documents that one task compares; larger groups are cut.
-MOST_SHINGLES, MOST_NODES = 3_000_000, 1000
+MOST_SHINGLES, MOST_NODES = 3_000_000, 3000
 #: Pairs with one leader that go to one task.
 PAIRS_A_TASK = 1000
 #: Steps of the search for the likelihood's maximum; each narrows it to 0.62 of what it was.
@@ -207,10 +207,14 @@ def sets_of(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """(node, n_shingles, band, least) of the bands that several nodes share."""
-    keys = nodes.select("node", "n_shingles", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n")).where("least != most").drop("most")
-    return materialise(join_hot(keys, materialise(shared, "near-shared"), ["band"], "n").drop("n"), "near-buckets")
+    """(node, band, least) of the bands that several nodes share. A band of two is known from its least and greatest node;
+    only those of more are joined with the nodes again."""
+    keys = nodes.select("node", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n")).where("least != most")
+    shared = materialise(shared, "near-shared")
+    two = shared.where("n = 2").select(F.explode(F.array("least", "most")).alias("node"), "band", "least")
+    many = join_hot(keys, shared.where("n > 2").drop("most"), ["band"], "n").select("node", "band", "least")
+    return materialise(two.unionByName(many), "near-buckets")
 
 
 def leader_links(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -298,7 +302,7 @@ def candidate_links(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
     """Edges (a, b) between nodes (node, n_shingles, bands) of other sets; their components are those of all links."""
     held = buckets(nodes)
     coarse = materialise(components(held.select(F.col("node").alias("a"), F.col("least").alias("b"))), "near-coarse")
-    sizes = held.select("node", "n_shingles").distinct().join(coarse, "node")
+    sizes = nodes.select("node", "n_shingles").join(coarse, "node")
     weight = sizes.groupBy("component").agg(F.sum("n_shingles").alias("shingles"), F.count("*").alias("n"))
     large = materialise(weight.where((F.col("shingles") > MOST_SHINGLES) | (F.col("n") > MOST_NODES)).select("component"), "near-large")  # at most a thousandth of the nodes, and such as have many shingles
     whole = sizes.join(large, "component", "left_anti").select("node", F.col("node").alias("label"), group(F.col("component").cast("string")), F.lit(-1).alias("side"))
@@ -306,7 +310,7 @@ def candidate_links(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str,
         groups = materialise(whole, "near-groups")
         return links(sets_of(df, groups, id_col, text_col, width), groups, percent)
     members = materialise(coarse.join(large, "component", "left_semi").select("node"), "near-members")
-    big = held.join(members, "node", "left_semi")
+    big = held.join(members.join(nodes.select("node", "n_shingles"), "node"), "node")
     sets = materialise(sets_of(df, sizes, id_col, text_col, width), "near-sets")
     led = materialise(leader_links(big, sets, percent), "near-led")
     found = components(led)
