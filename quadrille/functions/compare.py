@@ -282,8 +282,10 @@ def from_native(x: Column, kind: str) -> Column:
     if kind in ("timestamp", "timestamp_ntz"):
         text = F.concat(F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss"), F.regexp_replace(F.date_format(x, ".SSSSSS"), r"\.?0*$", ""))
         return typed(F.concat(text, F.lit("Z" if kind == "timestamp" else "")), "dateTime")
-    if kind == "time":
-        return typed(F.date_format(F.timestamp_micros(x), "HH:mm:ss"), "time")
+    if kind in ("time", "timetz"):
+        at = F.timestamp_micros(x if kind == "time" else x["micros"])
+        text = F.concat(F.date_format(at, "HH:mm:ss"), F.regexp_replace(F.date_format(at, ".SSSSSS"), r"\.?0*$", ""))
+        return typed(text if kind == "time" else F.concat(text, x["offset"]), "time")
     if kind == "interval":
         part = lambda v, mark: F.when(v != 0, F.concat(v.cast("string"), F.lit(mark))).otherwise(F.lit(""))
         months, days, micros = x["months"], x["days"], x["micros"]
@@ -297,10 +299,25 @@ def from_native(x: Column, kind: str) -> Column:
     raise ValueError(f"no native type {kind}")
 
 
+def _instant(value: Column) -> Column:
+    """A time with an offset in an order of its own: the moment, then the offset, the western ones last."""
+    hours, minutes = (F.regexp_extract(value["offset"], r"([0-9]{2}):([0-9]{2})$", k).try_cast("long") for k in (1, 2))
+    east = F.coalesce(hours * 60 + minutes, F.lit(0)) * F.when(value["offset"].startswith("-"), -60_000_000).otherwise(60_000_000)
+    return F.when(value["micros"].isNotNull(), F.struct((value["micros"] - east).alias("at"), (-east).alias("west")))
+
+
+def compare_native(value: Column, op: str, x: Term, kind: str, on_error: str = "null") -> Column:
+    """native op term: native_compare with the sides changed."""
+    turned = {"<": ">", "<=": ">=", ">": "<", ">=": "<="}
+    return native_compare(x, turned.get(op, op), value, kind, on_error)
+
+
 def native_compare(x: Term, op: str, value: Column, kind: str, on_error: str = "null") -> Column:
     """term op native, the datatype ignored for numbers and dates; dates that don't parse differ from everything."""
     term, operand = _col(x), value
     left = lex(x).try_cast(EXACT) if kind in ("decimal", "bigint", "int", "smallint") else lex(x).try_cast("double") if kind in ("double", "float") else F.substring(lex(x), 1, 10).try_cast("date") if kind == "date" else to_native(x, kind)
+    if kind == "timetz":  # by the moment, then by the offset, as times with a zone are ordered
+        left, value = _instant(left), _instant(value)
     if kind == "interval":
         left, value = duration(x), (value["months"] * 30 + value["days"]) * DAY_MICROS + value["micros"]
     made = {"=": left == value, "<>": left != value, "<": left < value, "<=": left <= value, ">": left > value, ">=": left >= value}[op]

@@ -5,10 +5,12 @@ Where the function isn't defined for an argument the result is null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .terms import Term, _col, compatible, dt, is_literal, is_numeric, lang, lex, literal, string_form, typed, xsd
+from .terms import Term, _col, compatible, dt, has_type, is_literal, is_numeric, lang, lex, literal, string_form, typed, xsd
 
 DECIMAL = "decimal(38,18)"
 
@@ -109,21 +111,36 @@ def _same_type(x: Term, value: Column) -> Column:
     return literal(_plain_number(value), datatype=dt(x))
 
 
+def _numeric(x: Term, exact: Callable[[Column], Column], double: Callable[[Column], Column]) -> Column:
+    """A function of a number with the number's type. Doubles and floats that a decimal can't hold, INF and NaN among them,
+    take the double form."""
+    value = F.when(is_numeric(x), lex(x).try_cast("double"))
+    made = double(value)
+    text = F.when(F.isnan(made), F.lit("NaN")).when(made == float("inf"), F.lit("INF")).when(made == float("-inf"), F.lit("-INF")).otherwise(F.regexp_replace(made.cast("string"), r"\.0(?=$|E)", ""))
+    wide = has_type(x, "double", "float") & _number(x).isNull()
+    return F.when(wide, literal(text, datatype=dt(x))).otherwise(_same_type(x, exact(_number(x))))
+
+
+def _unrounded(f: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """What f does to doubles that have fractions; beyond 2^53 all are whole, and casts to long would cut them."""
+    return lambda v: F.when(F.isnan(v) | (F.abs(v) >= 2.0**53), v).otherwise(f(v).cast("double"))
+
+
 def abs_(x: Term) -> Column:
-    return _same_type(x, F.abs(_number(x)))
+    return _numeric(x, F.abs, F.abs)
 
 
 def round_(x: Term) -> Column:
     """Half up, towards positive infinity."""
-    return _same_type(x, F.floor(_number(x) + F.lit(0.5).cast("decimal(2,1)")))
+    return _numeric(x, lambda v: F.floor(v + F.lit(0.5).cast("decimal(2,1)")), _unrounded(lambda v: F.floor(v + 0.5)))
 
 
 def ceil(x: Term) -> Column:
-    return _same_type(x, F.ceil(_number(x)))
+    return _numeric(x, F.ceil, _unrounded(F.ceil))
 
 
 def floor(x: Term) -> Column:
-    return _same_type(x, F.floor(_number(x)))
+    return _numeric(x, F.floor, _unrounded(F.floor))
 
 
 def rand() -> Column:
@@ -182,5 +199,3 @@ def now() -> Column:
 
 def md5(x: Term) -> Column:
     return literal(F.md5(string_form(x)))
-
-

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.compare import group_key, join_key, term_eq
+from ..functions.terms import lex
 
 
 def value_join(a: DataFrame, b: DataFrame, left: str, right: str, how: str = "inner") -> DataFrame:
@@ -57,4 +58,6 @@ def page(df: DataFrame, limit: int | None = None, offset: int = 0) -> DataFrame:
 
 
 def like(x: Column, pattern: str, ignore_case: bool = False) -> Column:
+    """LIKE over a term's lexical form."""
+    x = lex(x)
     return x.ilike(pattern) if ignore_case else x.like(pattern)

@@ -162,11 +162,16 @@ class SparqlWriter(DataSourceWriter):
             raise ValueError("the table is read-only")
         if not self.options.get("pattern"):
             raise ValueError("option pattern is needed")
-        check_pattern(self.options["pattern"], self.names)
+        names = check_pattern(self.options["pattern"], self.names)
+        if self.options.get("operation") == "update" and (missing := [n for n in names if f"old_{n}" not in self.names]):
+            raise ValueError(f"no column old_{missing[0]} for ?{missing[0]} before the update")
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
         o = self.options
-        for text in statements((dict(zip(self.names, r)) for r in iterator), o["pattern"], o.get("operation", "insert"), int(o.get("batch_size", BATCH))):
+        rows = (dict(zip(self.names, r)) for r in iterator)
+        if o.get("operation") == "update":  # columns old_x have what ?x was
+            rows = ({"old": {n.removeprefix("old_"): v for n, v in r.items() if n.startswith("old_")}, "new": r} for r in rows)
+        for text in statements(rows, o["pattern"], o.get("operation", "insert"), int(o.get("batch_size", BATCH))):
             request(o, {"update": text}, "*/*", o.get("update_url") or o["endpoint"]).close()
         return WriterCommitMessage()
 
