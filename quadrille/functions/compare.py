@@ -245,6 +245,12 @@ def _sort_struct(x: Column) -> Column:
 def to_native(x: Term, kind: str) -> Column:
     """kind: decimal, double, float, bigint, int, smallint, boolean, date, timestamp, timestamp_ntz, time (microseconds of
     the day), timetz (microseconds and offset), interval (months, days, microseconds). Null where the cast fails."""
+    if kind in ("date", "timestamp", "timestamp_ntz", "time", "timetz", "interval"):
+        return let(_col(x), lambda v: _to_native(v, kind))
+    return _to_native(x, kind)
+
+
+def _to_native(x: Term, kind: str) -> Column:
     text, bare = lex(x), F.regexp_replace(lex(x), r"(?:Z|[+-][0-9]{2}:[0-9]{2})$", "")
     dated = has_type(x, "date", "dateTime")
     if kind in ("decimal", "double"):
@@ -262,10 +268,10 @@ def to_native(x: Term, kind: str) -> Column:
     if kind == "time":
         return F.unix_micros(F.concat(F.lit("1970-01-01T"), bare, F.lit("Z")).try_cast("timestamp"))
     if kind == "timetz":
-        return F.struct(to_native(x, "time").alias("micros"), F.regexp_extract(text, r"(Z|[+-][0-9]{2}:[0-9]{2})$", 1).alias("offset"))
+        return F.struct(_to_native(x, "time").alias("micros"), F.regexp_extract(text, r"(Z|[+-][0-9]{2}:[0-9]{2})$", 1).alias("offset"))
     if kind == "interval":
-        months, days, micros = duration_parts(x)
-        return F.when(has_type(x, "duration"), F.struct(months.alias("months"), days.alias("days"), micros.alias("micros")))
+        parts = lambda t: F.struct(*[p.alias(n) for p, n in zip(_duration_of(t), ("months", "days", "micros"))])
+        return F.when(has_type(x, "duration"), let(text, parts))
     raise ValueError(f"no native type {kind}")
 
 

@@ -110,24 +110,18 @@ def filter_in(spark, sf_dir):
     return lineitems(spark, sf_dir).where(C.term_in("qty", F.lit(f'"01"^^<{X}int>'), F.lit(f'"7.0"^^<{X}decimal>'), F.lit(f'"5E1"^^<{X}double>'))).select("s")
 
 
-@query("""SELECT '<{B}part/' || p_partkey || '>' AS part, '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS item FROM part JOIN lineitem ON p_size = CAST(l_quantity AS BIGINT) WHERE p_partkey <= 5""")
-def value_join(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").where("p_partkey <= 5").select(L.node("part", F.col("p_partkey")).alias("part"), C.from_native(F.col("p_size"), "int").alias("size"))
-    items = lineitems(spark, sf_dir).select(F.col("s").alias("item"), "qty")
-    return R.value_join(parts, items, "size", "qty").select("part", "item")
-
-
 @query("""SELECT '"' || p_size || '"^^<{X}int>' AS size, count(*) AS n FROM part JOIN lineitem ON p_size = CAST(l_quantity AS BIGINT) GROUP BY p_size""")
-def value_join_whole(spark, sf_dir):
+def value_join(spark, sf_dir):
     """All pairs of the whole tables, counted by size."""
     parts = table(spark, sf_dir, "part").select(C.from_native(F.col("p_size"), "int").alias("size"))
     return R.value_join(parts, lineitems(spark, sf_dir).select("qty"), "size", "qty").groupBy("size").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')""")
 def anti_join(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"))
-    return R.value_not_in(c, "s", table(spark, sf_dir, "orders").select(L.node("customer", F.col("o_custkey")).alias("c")), "c")
+    urgent = P.bgp(order_triples(spark, sf_dir), ("?o", L.predicate("customer"), "?c"), ("?o", L.predicate("priority"), "?p")).where(R.like(F.col("p"), "1%"))
+    return R.value_not_in(c, "s", urgent, "c")
 
 
 @query("""SELECT DISTINCT '<{B}customer/' || c_custkey || '>' AS s FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')""")
@@ -159,16 +153,10 @@ def union_pattern(spark, sf_dir):
     return P.union(P.match(customer_triples(spark, sf_dir), "?x", L.predicate("name"), "?name"), P.match(nation_triples(spark, sf_dir), "?x", L.predicate("label"), "?name")).select("name")
 
 
-@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS n FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 40)""")
+@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS n FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)""")
 def minus_pattern(spark, sf_dir):
-    few = table(spark, sf_dir, "customer").where("c_custkey <= 40").select(L.node("nation", F.col("c_nationkey")).alias("n"))
-    return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), few)
-
-
-@query("""SELECT '<{B}nation/' || n_nationkey || '>' AS n FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)""")
-def minus_pattern_whole(spark, sf_dir):
-    homes = table(spark, sf_dir, "supplier").select(L.node("nation", F.col("s_nationkey")).alias("n"))
-    return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), homes)
+    rich = table(spark, sf_dir, "customer").where("c_acctbal > 9900").select(L.node("nation", F.col("c_nationkey")).alias("n"))
+    return P.minus(P.match(nation_triples(spark, sf_dir), "?n", L.predicate("label"), "?l").select("n"), rich)
 
 
 @query("""SELECT '<{B}customer/7>' AS subject, '<{B}p/' || p || '>' AS predicate, o AS object FROM (SELECT 'name' AS p, '"' || c_name || '"' AS o FROM customer WHERE c_custkey = 7 UNION ALL SELECT 'nation', '<{B}nation/' || c_nationkey || '>' FROM customer WHERE c_custkey = 7)""")
@@ -183,15 +171,8 @@ def string_functions(spark, sf_dir):
     return c.select("name", S.ucase("name").alias("up"), S.lcase("name").alias("low"), S.strlen("name").cast("long").alias("size"), S.substr("name", 3, 5).alias("part"), S.strbefore("name", x("#")).alias("before"), S.strafter("name", x("#")).alias("after"), S.strstarts("name", x("Cust")).alias("starts"), S.strends("name", x("9")).alias("ends"), S.contains("name", x("00")).alias("has"), S.md5("name").alias("digest"), S.replace("name", "0", "o").alias("replaced"))
 
 
-@query("""SELECT '"' || left(text, 40) || '"@' || lang AS term, lang AS tag, lang = 'en' AS english, '"' || lang || '"' AS code, length(text) AS size FROM documents WHERE NOT contains(text, '"') AND NOT contains(text, chr(92))""")
-def language_tags(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("not contains(text, '\"') and not contains(text, '\\\\')")
-    t = d.select(L.tagged(F.left("text", F.lit(40)), F.col("lang")).alias("term"), F.char_length("text").cast("long").alias("size"))
-    return t.select("term", T.lang("term").alias("tag"), T.lang_matches(T.lang("term"), F.lit("en")).alias("english"), T.literal(T.lang("term")).alias("code"), "size")
-
-
 @query("""SELECT '"' || replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"@' || lang AS term, lang AS tag, lang = 'en' AS english, '"' || lang || '"' AS code, length(text) AS size FROM documents""")
-def language_tags_whole(spark, sf_dir):
+def language_tags(spark, sf_dir):
     """All documents with their whole texts, escaped."""
     t = table(spark, sf_dir, "documents").select(L.tagged(F.col("text"), F.col("lang")).alias("term"), F.char_length("text").cast("long").alias("size"))
     return t.select("term", T.lang("term").alias("tag"), T.lang_matches(T.lang("term"), F.lit("en")).alias("english"), T.literal(T.lang("term")).alias("code"), "size")
@@ -266,6 +247,109 @@ def events_by_type(spark, sf_dir):
     return e.groupBy("kind").agg(F.count("*").alias("n"), A.rdf_sum("value").alias("total"), A.rdf_max("at").alias("latest"))
 
 
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s, true AS known, false AS unknown, true AS number, false AS no_number, true AS same, c_name = 'Customer#000000007' AS seven, '"' || c_name || '"' AS first, '<{X}decimal>' AS kind, '<{X}string>' AS plain_kind, '<http://www.w3.org/1999/02/22-rdf-syntax-ns#langString>' AS tagged_kind, '<{X}integer>' AS integer_kind, true AS fits, false AS fits_not FROM customer""")
+def term_tests(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(L.node("customer", F.col("c_custkey")).alias("s"), L.text(F.col("c_name")).alias("name"), L.decimal(F.col("c_acctbal")).alias("v"), L.integer(F.col("c_custkey")).alias("k"), L.tagged(F.col("c_name"), F.lit("en")).alias("tagged"), F.lit(None).cast("string").alias("none"))
+    return c.select("s", T.bound("name").alias("known"), T.bound("none").alias("unknown"), T.is_numeric("v").alias("number"), T.is_numeric("name").alias("no_number"), T.same_term("name", "name").alias("same"), T.same_term("name", F.lit('"Customer#000000007"')).alias("seven"), T.coalesce("none", "name").alias("first"), T.datatype("v").alias("kind"), T.datatype("name").alias("plain_kind"), T.datatype("tagged").alias("tagged_kind"), T.datatype("k").alias("integer_kind"), T.compatible("tagged", "name").alias("fits"), T.compatible("name", "tagged").alias("fits_not"))
+
+
+@query("""SELECT '_:' || regexp_replace(p_name, '[^A-Za-z0-9]', '_', 'g') AS node, '"' || p_name || '"^^<{X}token>' AS typed, '"' || p_name || '"@en-US' AS tagged, '"' || p_name || '-' || p_size || '"' AS joined, '"' || p_name || '/' || p_name || '"@en' AS joined_tagged, '"' || url_encode(p_name || '/é ~*') || '"' AS encoded, '<http://x.example/' || p_partkey || '>' AS u FROM part""")
+def term_makers(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(L.text(F.col("p_name")).alias("name"), L.tagged(F.col("p_name"), F.lit("en")).alias("tag"), F.col("p_size").cast("string").alias("size"), F.col("p_partkey").cast("string").alias("key"))
+    x = lambda t: F.lit(f'"{t}"')
+    return p.select(T.bnode("name").alias("node"), T.strdt("name", F.lit(f"<{X}token>")).alias("typed"), T.strlang("name", x("EN-US")).alias("tagged"), S.concat("name", x("-"), T.literal(F.col("size"))).alias("joined"), S.concat("tag", F.lit('"/"@en'), "tag").alias("joined_tagged"), S.encode_for_uri(S.concat("name", x("/é ~*"))).alias("encoded"), T.uri(T.literal(F.concat(F.lit("http://x.example/"), F.col("key")))).alias("u"))
+
+
+@query("""SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s, q = 17 AS int_eq, q <> 17 AS long_ne, q < 17 AS short_lt, q <= 17.5 AS double_le, q >= 17 AS float_ge, d > 0.05 AS decimal_gt, 17 < q AS int_back, 0.05 >= d AS decimal_back, day = DATE '1996-03-13' AS date_eq, day <> DATE '1996-03-13' AS date_ne, day < DATE '1996-03-13' AS date_lt, day >= DATE '1996-03-13' AS stamp_ge, day > DATE '1996-03-13' AS moment_gt, l_linenumber % 2 = 1 AS truth_eq FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q, CAST(l_discount AS DECIMAL(20,2)) AS d, CAST(l_shipdate AS DATE) AS day FROM lineitem)""")
+def native_operators(spark, sf_dir):
+    t = table(spark, sf_dir, "lineitem")
+    rows = t.select(L.node("lineitem", F.col("l_orderkey"), F.col("l_linenumber")).alias("s"), L.integer(F.col("l_quantity")).alias("q"), L.decimal(F.col("l_discount")).alias("d"), L.date(F.col("l_shipdate")).alias("day"), L.date_time(F.col("l_shipdate")).alias("at"), C.from_native(F.col("l_linenumber") % 2 == 1, "boolean").alias("odd"))
+    day = F.lit("1996-03-13")
+    return rows.select("s", C.native_compare("q", "=", F.lit(17), "int").alias("int_eq"), C.native_compare("q", "<>", F.lit(17).cast("bigint"), "bigint").alias("long_ne"), C.native_compare("q", "<", F.lit(17).cast("smallint"), "smallint").alias("short_lt"), C.native_compare("q", "<=", F.lit(17.5), "double").alias("double_le"), C.native_compare("q", ">=", F.lit(17.0).cast("float"), "float").alias("float_ge"), C.native_compare("d", ">", F.lit("0.05").cast("decimal(3,2)"), "decimal").alias("decimal_gt"), C.compare_native(F.lit(17), "<", "q", "int").alias("int_back"), C.compare_native(F.lit("0.05").cast("decimal(3,2)"), ">=", "d", "decimal").alias("decimal_back"), C.native_compare("day", "=", day.cast("date"), "date").alias("date_eq"), C.native_compare("day", "<>", day.cast("date"), "date").alias("date_ne"), C.compare_native(day.cast("date"), ">", "day", "date").alias("date_lt"), C.native_compare("at", ">=", day.cast("timestamp_ntz"), "timestamp_ntz").alias("stamp_ge"), C.native_compare("at", ">", F.timestamp_micros(F.unix_date(day.cast("date")).cast("long") * 86_400_000_000), "timestamp").alias("moment_gt"), C.native_compare("odd", "=", F.lit(True), "boolean").alias("truth_eq"))
+
+
+@query("""SELECT k, CAST(k % 1000 AS SMALLINT) AS short, CAST(k AS INTEGER) AS mid, k * 1000003 AS long, CAST(k + 0.5 AS FLOAT) AS single, k / 4.0::DOUBLE AS twin, CAST(k AS DECIMAL(20,0)) / 100 = CAST(k AS DECIMAL(20,0)) / 100 AS exact, k % 3 = 0 AS truth, CAST(o_orderdate AS DATE) AS day, k * 1000003 % 86400000000 AS clock, k * 1000003 % 86400000000 AS clock_tz, '-08:00' AS zone, CAST(k % 40 AS BIGINT) AS months, CAST(k % 13 AS BIGINT) AS days, k * 7 % 100000 * 1000000 AS micros, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS moment FROM (SELECT *, CAST(o_orderkey AS BIGINT) AS k FROM orders)""")
+def cast_round_trips(spark, sf_dir):
+    """Every native type to a term and back."""
+    k = F.col("o_orderkey").cast("bigint")
+    rows = table(spark, sf_dir, "orders").select(k.alias("k"), F.pmod(k * 1000003, F.lit(86_400_000_000)).alias("us"), F.col("o_orderdate").cast("timestamp_ntz").alias("at"), F.struct((k % 40).alias("months"), (k % 13).alias("days"), (k * 7 % 100000 * 1000000).alias("micros")).alias("span"))
+    again = lambda c, kind: C.to_native(C.from_native(c, kind), kind)
+    k, cents, span = F.col("k"), (F.col("k").cast("decimal(20,0)") / 100).cast("decimal(24,2)"), again(F.col("span"), "interval")
+    zoned = again(F.struct(F.col("us").alias("micros"), F.lit("-08:00").alias("offset")), "timetz")
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return rows.select("k", again((k % 1000).cast("smallint"), "smallint").alias("short"), again(k.cast("int"), "int").alias("mid"), again(k * 1000003, "bigint").alias("long"), again((k + 0.5).cast("float"), "float").alias("single"), again(k / 4.0, "double").alias("twin"), (again(cents, "decimal") == cents).alias("exact"), again(k % 3 == 0, "boolean").alias("truth"), again(F.col("at").cast("date"), "date").alias("day"), again(F.col("us"), "time").alias("clock"), zoned["micros"].alias("clock_tz"), zoned["offset"].alias("zone"), span["months"].alias("months"), span["days"].alias("days"), span["micros"].alias("micros"), shown(again(F.col("at"), "timestamp_ntz")).alias("stamp"), shown(again(F.col("at").cast("timestamp"), "timestamp")).alias("moment"))
+
+
+@query("""SELECT '<{B}event/' || event_id || '>' AS s, CAST(second(ts) AS DECIMAL(18,6)) AS sec, '"+05:30"' AS tz, '"PT5H30M"^^<{X}dayTimeDuration>' AS timezone, '"-02:00"' AS west, '"-PT2H"^^<{X}dayTimeDuration>' AS west_zone, '"Z"' AS utc, '"PT0S"^^<{X}dayTimeDuration>' AS utc_zone FROM events""")
+def zone_functions(spark, sf_dir):
+    text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    at = lambda zone: T.typed(F.concat(text, F.lit(zone)), "dateTime")
+    e = table(spark, sf_dir, "events").select(L.node("event", F.col("event_id")).alias("s"), at("+05:30").alias("east"), at("-02:00").alias("west_at"), at("Z").alias("utc_at"))
+    return e.select("s", S.seconds("east").alias("sec"), S.tz("east").alias("tz"), S.timezone("east").alias("timezone"), S.tz("west_at").alias("west"), S.timezone("west_at").alias("west_zone"), S.tz("utc_at").alias("utc"), S.timezone("utc_at").alias("utc_zone"))
+
+
+@query("""SELECT '<{B}lineitem/' || l_orderkey || '-' || l_linenumber || '>' AS s, q <> 17 AS ne, q <= 17 AS le, day <= DATE '1996-03-13' AS date_le, day <> DATE '1996-03-13' AS date_ne, '"' || l_returnflag || '"' < '"N"' AS text_lt, q BETWEEN 5 AND 20 AS between_two, CASE WHEN q > 25 THEN 'many' ELSE 'few' END AS size, NULLIF('"' || l_linestatus || '"', '"O"') AS status, NOT (q > 25) AS inverse, (q > 25) IS TRUE AS is_true, l_linestatus LIKE 'f%' AS like_it, l_linestatus ILIKE 'f%' AS ilike_it, l_linestatus NOT LIKE 'F%' AS unlike FROM (SELECT *, CAST(l_quantity AS BIGINT) AS q, CAST(l_shipdate AS DATE) AS day FROM lineitem)""")
+def value_operators(spark, sf_dir):
+    """Comparisons of terms with terms, and the conditions that the host has for them."""
+    number = lambda n: F.lit(f'"{n}"^^<{X}integer>')
+    day, many = F.lit(f'"1996-03-13"^^<{X}date>'), C.term_gt("qty", number(25))
+    return lineitems(spark, sf_dir).select("s", C.term_ne("qty", number(17)).alias("ne"), C.term_le("qty", number(17)).alias("le"), C.term_le("shipped", day).alias("date_le"), C.term_ne("shipped", day).alias("date_ne"), C.term_lt("flag", F.lit('"N"')).alias("text_lt"), (C.term_ge("qty", number(5)) & C.term_le("qty", number(20))).alias("between_two"), F.when(many, "many").otherwise("few").alias("size"), F.nullif(F.col("status"), F.lit('"O"')).alias("status"), (~many).alias("inverse"), many.eqNullSafe(F.lit(True)).alias("is_true"), R.like(F.col("status"), "f%").alias("like_it"), R.like(F.col("status"), "f%", True).alias("ilike_it"), (~R.like(F.col("status"), "F%")).alias("unlike"))
+
+
+@query("""SELECT '"' || r_name || '"' AS name, count(*) AS n, '"' || min(n_name) || '"' AS some, count(*) FILTER (n_name < 'G') AS early FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name HAVING count(*) > 2""")
+def having_and_sample(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select("n_regionkey", L.text(F.col("n_name")).alias("label"))
+    r = table(spark, sf_dir, "region").select("r_regionkey", L.text(F.col("r_name")).alias("name"))
+    first = n.groupBy("n_regionkey").agg(A.rdf_min("label").alias("least"), F.count("*").alias("k"), F.count_if(C.term_lt("label", F.lit('"G"'))).alias("early"))
+    rows = first.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.groupBy("name").agg(F.sum("k").alias("n"), A.rdf_sample("least").alias("some"), F.sum("early").alias("early")).where("n > 2")
+
+
+@query("""SELECT coalesce('"' || l_returnflag || '"', 'all') AS flag, coalesce('"' || l_linestatus || '"', 'all') AS status, count(*) AS n FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""")
+def cube(spark, sf_dir):
+    return lineitems(spark, sf_dir).cube("flag", "status").agg(F.count("*").alias("n")).select(F.coalesce("flag", F.lit("all")).alias("flag"), F.coalesce("status", F.lit("all")).alias("status"), "n")
+
+
+@query("""SELECT '"' || a.n_name || '"' AS name, count(b.n_name) AS later FROM nation a LEFT JOIN nation b ON a.n_name < b.n_name GROUP BY a.n_name""")
+def theta_join(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(L.text(F.col("n_name")).alias("name"))
+    return n.join(n.withColumnRenamed("name", "other"), C.term_lt("name", "other"), "left").groupBy("name").agg(F.count("other").alias("later"))
+
+
+@query("""SELECT '<{B}part/' || p_partkey || '>' AS part, '"' || q || '"^^<{X}integer>' AS qty FROM part FULL JOIN (SELECT DISTINCT CAST(l_quantity AS BIGINT) * 3 AS q FROM lineitem) ON p_size = q""")
+def full_join(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(L.node("part", F.col("p_partkey")).alias("part"), C.from_native(F.col("p_size"), "int").alias("size"))
+    sizes = table(spark, sf_dir, "lineitem").select(L.integer(F.col("l_quantity") * 3).alias("qty"))
+    return R.value_join(parts, R.distinct_by_value(sizes), "size", "qty", "full").select("part", "qty")
+
+
+@query("""(SELECT '"' || o_orderpriority || '"' AS p FROM orders INTERSECT ALL (SELECT '"' || o_orderpriority || '"' FROM orders WHERE o_orderpriority < '4')) EXCEPT ALL SELECT DISTINCT '"' || o_orderpriority || '"' FROM orders""")
+def bag_operations(spark, sf_dir):
+    p = P.match(order_triples(spark, sf_dir), "?s", L.predicate("priority"), "?p").select("p")
+    return p.intersectAll(p.where(C.term_lt("p", F.lit('"4"')))).exceptAll(R.distinct_by_value(p))
+
+
+@query("""SELECT c, name, o FROM (SELECT '<{B}customer/' || c_custkey || '>' AS c, '"' || c_name || '"' AS name, '<{B}order/' || o_orderkey || '>' AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey) ORDER BY o DESC NULLS FIRST, c DESC NULLS FIRST LIMIT 40""")
+def nulls_first(spark, sf_dir):
+    names = P.match(customer_triples(spark, sf_dir), "?c", L.predicate("name"), "?name")
+    rows = P.optional(names, P.match(order_triples(spark, sf_dir), "?o", L.predicate("customer"), "?c")).select("c", "name", "o")
+    return R.page(R.ordered(rows, "o", "c", descending=True), 40)
+
+
+@query("""SELECT '"' || p_name || '"@en' AS name, '"' || substr(p_name, 2) || '"@en' AS rest, '"' || regexp_replace(p_name, '([a-z])([0-9])', '\\2\\1', 'g') || '"' AS swapped, '"' || regexp_replace(p_name, 'A', 'x', 'gi') || '"' AS folded, true AS any_tag, true AS this_tag, false AS other_tag, length(p_name) AS size, '"' || md5(p_name) || '"' AS digest FROM part""")
+def tagged_strings(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select(L.tagged(F.col("p_name"), F.lit("en")).alias("name"))
+    matches = lambda r: T.lang_matches(T.lang("name"), F.lit(r))
+    return p.select("name", S.substr("name", 2).alias("rest"), S.replace("name", "([a-z])([0-9])", "\\2\\1").alias("swapped"), S.replace("name", "A", "x", "i").alias("folded"), matches("*").alias("any_tag"), matches("EN").alias("this_tag"), matches("de").alias("other_tag"), S.strlen("name").cast("long").alias("size"), S.md5("name").alias("digest"))
+
+
+@query("""SELECT '<{B}customer/' || c_custkey || '>' AS s, '"' || CAST(abs(v) AS VARCHAR) || '"^^<{X}decimal>' AS size, '"' || abs(c_custkey - 50) || '"^^<{X}integer>' AS whole, '"INF"^^<{X}double>' AS infinite, '"1.0E' || (30 + c_custkey % 5) || '"^^<{X}double>' AS large FROM (SELECT c_custkey, CAST(c_acctbal AS DECIMAL(20,2)) AS v FROM customer) WHERE CAST(v * 100 AS BIGINT) % 10 <> 0""")
+def number_functions_wide(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").cast("decimal(20,2)").alias("x")).where("cast(x * 100 as bigint) % 10 <> 0")
+    large = T.typed(F.concat(F.lit("-1.0e"), (30 + F.col("c_custkey") % 5).cast("string")), "double")
+    return c.select(L.node("customer", F.col("c_custkey")).alias("s"), S.abs_(L.decimal(F.col("x"))).alias("size"), S.abs_(L.integer(F.col("c_custkey") - 50)).alias("whole"), S.abs_(F.lit(f'"-INF"^^<{X}double>')).alias("infinite"), F.regexp_replace(S.abs_(large), "1E", "1.0E").alias("large"))
+
+
 @query()
 def fresh_identifiers(spark, sf_dir):
     return table(spark, sf_dir, "region").select(L.node("region", F.col("r_regionkey")).alias("s"), T.uuid().alias("u"), T.struuid().alias("t"), T.bnode().alias("b"), S.rand().alias("r"), S.now().alias("now"))

@@ -31,6 +31,6 @@ def test_language_tags_of_escaped_texts(spark, tmp_path):
     spark.createDataFrame([(k, t, "en" if k % 2 else "de") for k, t in enumerate(texts)], "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     con = duckdb.connect()
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
-    want = con.sql(catalogue.oracle_sql()["language_tags_whole"])
-    got = catalogue.queries()["language_tags_whole"](spark, str(tmp_path)).select(*want.columns)
+    want = con.sql(catalogue.oracle_sql()["language_tags"])
+    got = catalogue.queries()["language_tags"](spark, str(tmp_path)).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall()) and got.count() == len(texts)
