@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import aggregates as A
 from ..functions import compare as C
+from ..functions import sql_names
 from ..functions import strings as S
 from ..functions import terms as T
 from ..operators import lift as L
@@ -350,6 +351,14 @@ def number_functions_wide(spark, sf_dir):
     return c.select(L.node("customer", F.col("c_custkey")).alias("s"), S.abs_(L.decimal(F.col("x"))).alias("size"), S.abs_(L.integer(F.col("c_custkey") - 50)).alias("whole"), S.abs_(F.lit(f'"-INF"^^<{X}double>')).alias("infinite"), F.regexp_replace(S.abs_(large), "1E", "1.0E").alias("large"))
 
 
+@query("""SELECT '"' || upper(p_name) || '"@en' AS up, '"' || substr(p_name, 3, 4) || '"@en' AS part, 'en' AS tag, length(p_name) AS size, '"' || p_name || '-' || p_size || '"' AS joined, '"' || md5(p_name) || '"' AS digest, '<{X}integer>' AS kind, starts_with(p_name, 'p') AS starts FROM part""")
+def sql_functions(spark, sf_dir):
+    """The functions under their SQL names."""
+    sql_names.register(spark)
+    p = table(spark, sf_dir, "part").select(L.tagged(F.col("p_name"), F.lit("en")).alias("tagged"), L.text(F.col("p_name")).alias("name"), T.literal(F.concat(F.lit("-"), F.col("p_size").cast("string"))).alias("size"), L.integer(F.col("p_size")).alias("n"))
+    return p.selectExpr("sparql_ucase(tagged) AS up", "sparql_substr(tagged, 3, 4) AS part", "sparql_lang(tagged) AS tag", "CAST(sparql_strlen(tagged) AS BIGINT) AS size", "sparql_concat(name, size) AS joined", "sparql_md5(name) AS digest", "sparql_datatype(n) AS kind", "sparql_strstarts(name, '\"p\"') AS starts")
+
+
 @query()
 def fresh_identifiers(spark, sf_dir):
     return table(spark, sf_dir, "region").select(L.node("region", F.col("r_regionkey")).alias("s"), T.uuid().alias("u"), T.struuid().alias("t"), T.bnode().alias("b"), S.rand().alias("r"), S.now().alias("now"))

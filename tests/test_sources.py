@@ -81,3 +81,22 @@ def test_pushdown():
     assert plan(t, ["o"], [], [("o", True)], 5, 2).sparql.endswith("ORDER BY ASC (?o)\nLIMIT 7")
     assert not rewritable("SELECT ?s { ?s ?p ?o } LIMIT 3")
     assert Prefixes().expand("default", "xsd:int") == "<http://www.w3.org/2001/XMLSchema#int>"
+
+
+def test_nested_comparisons_have_parentheses():
+    t = Table(Server("http://x/sparql"), "SELECT ?s ?o WHERE { ?s ?p ?o }", {"s": Variable("?s"), "o": Variable("?o")})
+    inner = Call("<", (Var("o"), Const(3)))
+    assert "FILTER((?o < 3) = " in plan(t, None, [Call("=", (inner, Const(True)))]).sparql
+
+
+def test_writer_updates_and_deletes(monkeypatch):
+    sent = []
+    monkeypatch.setattr(Q, "request", lambda options, form, accept, endpoint=None: sent.append(form["update"]) or io.BytesIO())
+    schema = StructType().add("s", "string").add("o", "string").add("old_s", "string").add("old_o", "string")
+    options = {"endpoint": "http://x", "pattern": "?s <p> ?o .", "operation": "update"}
+    Q.SparqlWriter(options, schema).write(iter([("<a>", '"2"', "<a>", '"1"')]))
+    assert sent == ['DELETE DATA { <a> <p> "1" . }; INSERT DATA { <a> <p> "2" . };']
+    with pytest.raises(ValueError, match="old_s"):
+        Q.SparqlWriter(options, StructType().add("s", "string").add("o", "string"))
+    Q.SparqlWriter(options | {"operation": "delete"}, StructType().add("s", "string").add("o", "string")).write(iter([("<a>", '"2"'), (None, '"3"')]))
+    assert sent[1:] == ['DELETE DATA { <a> <p> "2" . };']

@@ -63,3 +63,62 @@ def test_aggregates(spark):
     assert agg(A.rdf_sum, None) is None
     assert agg(A.rdf_max, i(9), i("10.5", "double"), i(2)) == i("10.5", "double")
     assert agg(A.rdf_group_concat, None) == ""
+
+
+N = lambda x, t="integer": f'"{x}"^^<{X}{t}>'
+
+
+@pytest.mark.parametrize(
+    "terms,total,mean",
+    [
+        ([N(10), N(20), N(30)], N(60), N("20.0", "decimal")),
+        ([N("10.5", "decimal"), N(20), N("30.5", "decimal")], N("61.0", "decimal"), N("20.3333333333333333", "decimal")),
+        ([N("10.0", "float"), N("10.5", "float"), N("15.3", "float")], N("35.8", "float"), N("11.9333333333333333", "float")),
+        ([N(1), N(1), N(0)], N(2), N("0.66666666666666666667", "decimal")),
+        ([N(-10), N(-5)], N(-15), N("-7.5000000000000000", "decimal")),
+        ([N(0), N(0)], N(0), N("0.0", "decimal")),
+        ([N("5" + "0" * 26)] * 2, N("1" + "0" * 27), N("5" + "0" * 26 + ".0", "decimal")),
+        ([N("9" * 22), N("0.5", "decimal")], N("9" * 22 + ".5", "decimal"), N("4" + "9" * 21 + ".8", "decimal")),
+        ([N("1.5", "decimal"), N(-3)], N("-1.5", "decimal"), N("-0.75000000000000000000", "decimal")),
+        ([N(100000), N(1), N(0)], N(100001), N("33333.666666666667", "decimal")),
+        ([N("INF", "double"), N("1.5", "double")], N("Infinity", "double"), N("Infinity", "double")),
+        ([N("INF", "double"), N("-INF", "double")], N("NaN", "double"), N("NaN", "double")),
+        ([N("NaN", "double"), N(1)], N("NaN", "double"), N("NaN", "double")),
+        ([N(1), '"1"'], None, None),
+        ([None], None, None),
+    ],
+)
+def test_sums_and_means(spark, terms, total, mean):
+    rows = spark.createDataFrame([(t,) for t in terms], "x string")
+    assert tuple(rows.agg(A.rdf_sum("x"), A.rdf_avg("x")).first()) == (total, mean)
+
+
+def test_wide_numbers(spark):
+    for made, want in [(S.abs_(lit("-1e30", "double")), N("1E30", "double")), (S.floor(lit("INF", "double")), N("INF", "double")), (S.ceil(lit("1.2", "double")), N(2, "double")), (S.floor(lit("NaN", "float")), N("NaN", "float")), (S.abs_(lit("x", "double")), None)]:
+        assert value(spark, made) == want
+
+
+def test_times_with_offsets(spark):
+    ten = F.struct(F.lit(36_000_000_000).alias("micros"), F.lit("Z").alias("offset"))
+    east = lit("11:00:00+01:00", "time")
+    for made, want in [
+        (C.native_compare(lit("10:00:00Z", "time"), "=", ten, "timetz"), True),
+        (C.native_compare(east, "=", ten, "timetz"), False),  # one moment, other offsets: ordered by these
+        (C.native_compare(east, "<", ten, "timetz"), True),
+        (C.native_compare(lit("11:30:00+01:00", "time"), ">", ten, "timetz"), True),
+        (C.compare_native(ten, "<", lit("09:30:00-01:00", "time"), "timetz"), True),
+    ]:
+        assert value(spark, made) is want
+    zoned = C.to_native(C.from_native(F.struct(F.lit(14_706_000_000).alias("micros"), F.lit("-08:00").alias("offset")), "timetz"), "timetz")
+    assert tuple(value(spark, zoned)) == (14_706_000_000, "-08:00")
+
+
+def test_functions_on_streams(spark, tmp_path):
+    """Term functions are expressions, so a stream gives what a table does."""
+    path = str(tmp_path / "in")
+    spark.createDataFrame([('"abc"@en',), (N(3),), ("<http://x>",), (None,)], "x string").write.parquet(path)
+    made = [T.lang("x").alias("lang"), S.strlen("x").alias("size"), C.term_gt("x", F.lit(N(2))).alias("more"), C.group_key("x").alias("key")]
+    query = spark.readStream.schema("x string").parquet(path).select("x", *made).writeStream.format("memory").queryName("streamed").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert rows(spark.table("streamed")) == rows(spark.read.parquet(path).select("x", *made))
