@@ -167,8 +167,8 @@ def test_html_seed_and_copies(spark):
 
 def test_html_keeps_whole_articles():
     def text(page):
-        blocks = html_text.parse(page)[1]
-        return [b.text for b, yes in zip(blocks, html_text.article(blocks)) if yes]
+        parsed = html_text.parse(page)
+        return [b.text for b, yes in zip(parsed.blocks, html_text.article(parsed)) if yes]
 
     long, short = "many words " * 40, "fewer words " * 8
     assert text(f"<body><nav>n</nav><div class=a><p>{long}</div><div class=b><p>{short}<p><a href=x>a line of links</a></div>") == [long.strip(), short.strip(), "a line of links"]
@@ -202,3 +202,231 @@ def test_pipeline(spark):
         assert docs.count() <= before
         before = docs.count()
     assert before > 50 and C.run(spark, DATA).select("doc_id").distinct().count() == before
+
+
+def test_bpe_long_words():
+    library, rng = Tokenizer.from_file(bpe.tokenizer_path()), np.random.default_rng(1)
+    mine = bpe.encoder(bpe.tokenizer_path(), False)
+    letters = lambda alphabet, n: "".join(rng.choice(list(alphabet), n))
+    for text in ("a" * 5000, "ab" * 3000, letters("abcdefghijklmnopqrstuvwxyz", 20_000), letters("the", 30_000), "é" * 1000, "x" * (bpe.LONG + 1), "a" * 200_000, "word " + letters("thean", 9000) + " end"):
+        assert mine.ids(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_substring_levels(spark):
+    """Prefixes of every length, periodic texts, several windows, against brute force."""
+    rng = np.random.default_rng(4)
+    draw = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 30, n))
+    shared = [draw(n) for n in (60, 55, 50, 49, 120)]
+    rows = [(k, " ".join(x for _ in range(rng.integers(1, 4)) for x in (draw(rng.integers(0, 40)), shared[rng.integers(0, 5)])) + (" p" * 70 if k % 9 == 0 else " a b" * 40 if k % 7 == 0 else "")) for k in range(120)]
+    rows += [(200, rows[3][1]), (5, shared[0]), (None, shared[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for window, most in ((50, 1000), (50, 5), (7, 3), (2, 2)):
+        first, want = {}, Counter()
+        for d, t in rows:
+            w = words(t)
+            for k in range(len(w) - window + 1) if d is not None else ():
+                x = tuple(w[k : k + window])
+                first[x] = min(first.get(x, d), d)
+        for d, t in rows:
+            w = words(t)
+            gone = {j for k in range(len(w) - window + 1) if d is not None and first[tuple(w[k : k + window])] < d for j in range(k, k + window)}
+            want[(d, len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone)))] += 1
+        assert Counter(tuple(r) for r in substring_dedup.remove_repeats(df, window=window, most_documents=most).collect()) == want
+
+
+@pytest.mark.parametrize("most", [3000, 25])
+def test_near_recall(spark, monkeypatch, most):
+    """Thousands of links, a third of them between 0.85 and 0.9, in small groups and one large one."""
+    monkeypatch.setattr(near_dedup, "MOST_NODES", most)
+    monkeypatch.setattr(near_dedup, "PAIRS_A_TASK", most)
+    rng = np.random.default_rng(2)
+    bases = [[f"w{x}" for x in rng.integers(0, 10**5, 300)] for _ in range(20)] + [[f"v{x}" for x in rng.integers(0, 10**5, 300)]]
+
+    def changed(base, k):
+        out = list(base)
+        for at in rng.choice(len(out), k, replace=False):
+            out[at] = f"n{rng.integers(10**9)}"
+        return " ".join(out)
+
+    texts = [changed(b, int(rng.integers(0, 12))) for b in bases for _ in range(12 if b is not bases[-1] else 120)]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
+    made = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    label, links, close = {i: i for i in made}, 0, 0
+    for a in made:
+        for b in made:
+            if a < b:
+                common = len(made[a] & made[b])
+                share = common / (len(made[a]) + len(made[b]) - common)
+                if share >= 0.85:
+                    links, close = links + 1, close + (share < 0.9)
+                    low, high = sorted((label[a], label[b]))
+                    label = {i: low if x == high else x for i, x in label.items()}
+    assert links > 1000 and close > 300
+    got = near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == label
+
+
+def test_likelihood_estimate():
+    """The estimate is the likelihood's maximum (against a fine grid), and near the true similarity."""
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    for shared, own in ((900, 50), (700, 150), (300, 350)):
+        a, b = np.unique(words[: shared + own]), np.unique(np.concatenate([words[:shared], words[-own:]]))
+        x, y = near_dedup.sketch([a, b])
+        more, less, u = np.array([(x > y).sum()]), np.array([(x < y).sum()]), np.array([len(a) / (len(a) + len(b))])
+        best = near_dedup.estimate(u, np.array([1.0]), more, less)
+        grid = np.linspace(0, 1, 20_001)
+        top = grid[near_dedup.log_likelihood(grid, u, more, less).argmax()]
+        assert abs(best[0] - top) < 1e-3 and abs(best[0] - shared / (shared + 2 * own)) < 0.12
+
+
+@pytest.mark.parametrize("files", [100, 2])
+def test_exact_with_equal_digests(spark, tmp_path, monkeypatch, files):
+    """Texts that share a digest are told apart by their bytes, in one round and in several."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, "t%03d" % (k % 37)) for k in range(150)] + [(None, "t001"), (7, "t007"), (200, None), (201, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(exact_dedup, "digest_of", lambda text: F.substring(F.sha2(text, 256), 1, 1))
+    got = exact_dedup.mark(spark.read.parquet(str(tmp_path / "in")), files_per_round=files).collect()
+    groups = {}
+    for d, t in rows:
+        groups.setdefault(t or "", []).append(d)
+    want = Counter((d, max((x for x in groups[t or ""] if x is not None), default=None), len(groups[t or ""])) for d, t in rows)
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == want and sum(r.kept for r in got) == len(groups)
+
+
+NAMED = [
+    ('db_credential = later\nlater = "hQ7s9dKx02LmZ"', "hQ7s9dKx02LmZ"),
+    ("private_key: |\n  MIIEvQIBADANBgkq\n  hkiG9w0BAQEF\nother: 1", "MIIEvQIBADANBgkq\n  hkiG9w0BAQEF"),
+    ('private_key = """MIIEvQIBADANBgkq\nhkiG9w0BAQEF"""', "MIIEvQIBADANBgkq\nhkiG9w0BAQEF"),
+    ("CLIENT_AUTH=$(cat <<EOF\nMIIEvQIBADANBgkqhkiG9w0BAQEF\nEOF\n)", "MIIEvQIBADANBgkqhkiG9w0BAQEF"),
+    ("x" * 120 + '_credential = "hQ7s9dKx02LmZ"', "hQ7s9dKx02LmZ"),
+    ("credential" + " " * 60 + '= "hQ7s9dKx02LmZ"', "hQ7s9dKx02LmZ"),
+    ('# auth_key: "hQ7s9dKx02LmZ"', "hQ7s9dKx02LmZ"),
+    ('{"client_credentials": "hQ7s9" + "dKx02LmZ"}', 'hQ7s9" + "dKx02LmZ'),
+    ('conf["signing_key"] = \'hQ7s9dKx02LmZ\'', "hQ7s9dKx02LmZ"),
+    ("export SESSION_AUTH=hQ7s9dKx02LmZ", "hQ7s9dKx02LmZ"),
+]
+HARMLESS = ['public_key = "hQ7s9dKx02LmZ"', 'key_name = "hQ7s9dKx02LmZ"', 'credential = "changeme-please"', 'auth_key = "${FROM_ENV}"', "a = b\nb = a\ncredential=a", 'color = "hQ7s9dKx02LmZ"', "The credential: a letter of the king", 'auth = "short"', "private_key: |\nnext: 1", 'credential = """never closed']
+
+
+def test_secret_names():
+    for text, secret in NAMED:
+        assert [text[a:b] for a, k, b in secrets.spans(text) if secrets.KINDS[k] == "named"] == [secret], text
+        assert secret not in secrets.redacted(text)
+    for text in HARMLESS:
+        assert not [s for s in secrets.spans(text) if secrets.KINDS[s[1]] == "named"], text
+
+
+def test_secret_base(texts):
+    """The base kinds against an independent version of the contract's patterns."""
+    for _, t in [*texts, (0, "password=abcdefgh token: 'xyz-1234567' AKIA" + "A" * 12 + " " + "0f" * 20 + " api_KEY\"='q.w/e+r=t-y_")]:
+        t = t or ""
+        want = [(m.start(), 0, m.end()) for m in re.finditer(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t) if len(m[2]) >= 8 and m[1].isascii()]
+        want += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 16] + [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
+        assert secrets.base_spans(t) == sorted(want)
+
+
+def test_long_texts_are_quick():
+    import time
+
+    began = time.time()
+    secrets.spans("".join(f'credential_{i} = "hQ7s9dKx0{i}LmZ"\ntoken = abcdefgh{i}\n' for i in range(16_000)))
+    for text in ("credential=<<EOF\n" * 60_000 + "EOF", "a" + " " * 10**6, "a:" * 300_000):
+        secrets.spans(text)
+    html_text.parse("<div>x" * 100_000)
+    html_text.parse("<b>" + "<div>" * 50_000 + "</b>" * 50_000)
+    assert time.time() - began < 60
+
+
+def test_html_template_without_names(spark):
+    """Constant text that has no telling name and that the seed page lacks is template; a brute-force count agrees."""
+    page = lambda k: f"<body><div class=q1><p>Start {k}</div>" + ("<div class=q7><p>Stay with us<p>every day</div>" if k else "") + f"<div class=q2><h2>H{k}</h2><p>body {k}<p>text {k}{k}</div>"
+    rows = [(k, "http://g.example/x", page(k)) for k in range(9)] + [(k, "http://few.example/x", page(k)) for k in range(20, 22)]
+    got = {r.page_id: (r.text, r.n_template) for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: v for k, v in got.items() if k < 9} == {k: (f"Start {k}\nH{k}\nbody {k}\ntext {k}{k}", 2 if k else 0) for k in range(9)}
+    assert got[20][0] == "Start 20\nStay with us\nevery day\nH20\nbody 20\ntext 2020" and got[20][1] == 0  # too few pages for a wrapper
+
+
+def test_tree_matching():
+    """The iterative matching against the plain recursion."""
+    rng = np.random.default_rng(6)
+
+    def tree(depth):
+        inside = "".join(f"<{t}>{tree(depth - 1)}</{t}>" for t in rng.choice(["div", "ul", "section", "table"], rng.integers(0, 4))) if depth else "x"
+        return inside
+
+    def size(a, b):
+        if a.label != b.label:
+            return 0
+        best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+        for i, c in enumerate(a.children):
+            for j, d in enumerate(b.children):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + size(c, d))
+        return 1 + best[-1][-1]
+
+    for _ in range(60):
+        a, b = html_text.parse(tree(4)).nodes[0], html_text.parse(tree(4)).nodes[0]
+        assert len(html_text.match(a, b)) == size(a, b)
+
+
+def test_naive_bayes_by_hand(spark):
+    """Predictions against counts of grams made one by one."""
+    rows = [(1, "aa ab", "x"), (2, "ab ab", "x"), (3, "cd ce", "y"), (4, "ab cd!", None), (5, "12", "x"), (6, None, "y"), (7, "ce", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df)
+    got = {r.doc_id: r for r in language_id.predict(df, model).collect()}
+    counts = {lang: Counter() for lang in model[0]}
+    for _, t, lang in rows:
+        if lang and t:
+            counts[lang].update(language_id.grams([t])[0].tolist())
+    n = Counter(r[2] for r in rows if r[2])
+    for d, t, _ in rows:
+        if not t or not any(c.isalpha() for c in t):
+            assert (got[d].lang_pred, got[d].score) == ("und", 0.0)
+            continue
+        logs = {lang: np.log(n[lang] / sum(n.values())) + sum(np.log((c[g] + language_id.SMOOTH) / (sum(c.values()) + language_id.SMOOTH * language_id.BUCKETS)) for g in language_id.grams([t])[0].tolist()) for lang, c in counts.items()}
+        best = max(logs, key=logs.get)
+        assert got[d].lang_pred == best and abs(got[d].score - 1 / sum(np.exp(x - logs[best]) for x in logs.values())) < 1e-4
+    assert language_id.buckets_for(4) == language_id.BUCKETS and language_id.buckets_for(100_000) * 100_000 <= language_id.MOST_NUMBERS
+
+
+def test_empty_tables(spark, docs):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").limit(0)
+    none = docs.limit(0)
+    pages = spark.createDataFrame([], "page_id long, url string, html string, host string, seed string, salt int")
+    model = language_id.train(none.selectExpr("*", "'x' AS lang"))
+    for made in (html_text.extract(pages), secrets.scan(none), language_id.predict(none, model), exact_dedup.mark(none), quality_model.score(none, quality_model.train(none, labels)), near_dedup.near_components(none), substring_dedup.remove_repeats(none), quality_rules.judge(none, labels)):
+        assert made.count() == 0
+    clash = spark.createDataFrame([(1, "http://a/x", "<p>hi", "h", "s", 3)] * 2, pages.schema)
+    assert [r.text for r in html_text.extract(clash).collect()] == ["hi", "hi"]
+    assert [r.n_hex for r in secrets.scan(spark.createDataFrame([(1, "0a" * 20, "x", 2)] * 2, "doc_id long, text string, spans string, n_hex long")).collect()] == [1, 1]
+
+
+def test_pipeline_by_brute_force(spark):
+    """The pipeline's rows against the stages done one document at a time; the learned list's verdicts are taken as given."""
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    good = {r.doc_id for r in quality_rules.judge(docs, spark.read.parquet(f"{DATA}/labels.parquet")).collect() if r.kept}
+    last = {}
+    for r in docs.collect():
+        if r.doc_id in good:
+            last[r.text or ""] = max(last.get(r.text or "", r.doc_id), r.doc_id)
+    texts = {d: t for t, d in last.items()}
+    sets = {d: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for d, t in texts.items() for w in [words("".join(c.lower() if "A" <= c <= "Z" else c for c in t))]}
+    label = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            common = len(sets[a] & sets[b])
+            if a < b and label[a] != label[b] and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                low, high = sorted((label[a], label[b]))
+                label = {d: low if x == high else x for d, x in label.items()}
+    library, want = Tokenizer.from_file(bpe.tokenizer_path()), Counter()
+    for d in (d for d, x in label.items() if d == x):
+        ids = [*library.encode(secrets.redacted(texts[d]), add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want[(d, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
+    assert Counter(tuple(r)[:5] for r in C.run(spark, DATA).collect()) == want
