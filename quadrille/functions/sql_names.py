@@ -10,7 +10,7 @@ operands in lambdas, which have no SQL text, and SQL functions can't aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -73,8 +73,9 @@ def sql_text(spark: SparkSession, parameters: str, body: Callable[..., Column])
     return made._jdf.queryExecution().analyzed().projectList().head().child().sql()
 
 
-def register(spark: SparkSession, prefix: str = "sparql_") -> list[str]:
-    """Create or replace the functions; their names."""
-    for name, (parameters, body) in FUNCTIONS.items():
+def register(spark: SparkSession, prefix: str = "sparql_", names: Iterable[str] = tuple(FUNCTIONS)) -> list[str]:
+    """Create or replace the functions, all or those named; their SQL names."""
+    for name in names:
+        parameters, body = FUNCTIONS[name]
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({parameters}) RETURN {sql_text(spark, parameters, body)}")
-    return [prefix + name for name in FUNCTIONS]
+    return [prefix + name for name in names]

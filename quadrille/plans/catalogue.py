@@ -354,7 +354,7 @@ def number_functions_wide(spark, sf_dir):
 @query("""SELECT '"' || upper(p_name) || '"@en' AS up, '"' || substr(p_name, 3, 4) || '"@en' AS part, 'en' AS tag, length(p_name) AS size, '"' || p_name || '-' || p_size || '"' AS joined, '"' || md5(p_name) || '"' AS digest, '<{X}integer>' AS kind, starts_with(p_name, 'p') AS starts FROM part""")
 def sql_functions(spark, sf_dir):
     """The functions under their SQL names."""
-    sql_names.register(spark)
+    sql_names.register(spark, names=["ucase", "substr", "lang", "strlen", "concat", "md5", "datatype", "strstarts"])
     p = table(spark, sf_dir, "part").select(L.tagged(F.col("p_name"), F.lit("en")).alias("tagged"), L.text(F.col("p_name")).alias("name"), T.literal(F.concat(F.lit("-"), F.col("p_size").cast("string"))).alias("size"), L.integer(F.col("p_size")).alias("n"))
     return p.selectExpr("sparql_ucase(tagged) AS up", "sparql_substr(tagged, 3, 4) AS part", "sparql_lang(tagged) AS tag", "CAST(sparql_strlen(tagged) AS BIGINT) AS size", "sparql_concat(name, size) AS joined", "sparql_md5(name) AS digest", "sparql_datatype(n) AS kind", "sparql_strstarts(name, '\"p\"') AS starts")
 
