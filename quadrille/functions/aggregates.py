@@ -83,7 +83,8 @@ def rdf_sum(x: Term, over: WindowSpec | None = None) -> Column:
 def _sum(p: Column) -> Column:
     digits = lambda f: F.substring(F.lpad(f.cast("string"), 18, "0"), F.lit(1), p["scale"])
     exact = _total(p, lambda s, t, f: F.concat(s, t.cast("string"), F.when(p["scale"] > 0, F.concat(F.lit("."), digits(f))).otherwise(F.lit(""))))
-    text = F.when(p["other"].isNotNull(), _special(p["other"] + p["whole"].cast("double") + p["fraction"].cast("double"))).otherwise(exact)
+    wide = _special(p["other"] + p["whole"].cast("double") + p["fraction"].cast("double"))
+    text = F.when((p["rank"] == 0) & p["other"].isNull(), p["whole"].cast("string")).when(p["other"].isNotNull(), wide).otherwise(exact)
     return F.when((p["n"] > 0) & ~p["odd"], literal(text, datatype=_type(p["rank"])))
 
 
