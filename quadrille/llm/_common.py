@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import functools
+import operator
 import tempfile
 import uuid
 
@@ -90,3 +92,22 @@ def join_hot(rows: DataFrame, table: DataFrame, on: list[str], count: str, how:
         return rows.join(table, on, how)
     rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
     return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on, how))
+
+
+#: Hashes of keys that are broadcast, at most: 8 bytes each in the tasks' hash table.
+MOST_BROADCAST = 1_000_000
+
+
+def without(rows: DataFrame, gone: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows whose keys (the columns `on` names, with those of `gone`, a written table) aren't in it. Nulls equal each other.
+
+    Up to MOST_BROADCAST keys are broadcast as 64-bit hashes, and only rows that these hit are shuffled, to compare the keys
+    themselves; the other rows stay where they are. With more keys than that all rows are shuffled.
+    """
+    same = lambda df: functools.reduce(operator.and_, [df[f"`{mine}`"].eqNullSafe(gone[theirs]) for mine, theirs in on.items()])
+    if gone.count() > MOST_BROADCAST:
+        return rows.join(gone, same(rows), "left_anti")
+    short = F.broadcast(gone.select(F.xxhash64(*on.values()).alias("_q_short")).distinct())
+    rows = rows.withColumn("_q_hash", F.xxhash64(*[F.col(f"`{mine}`") for mine in on]))
+    clear, hit = (rows.join(short, rows["_q_hash"] == short["_q_short"], how) for how in ("left_anti", "left_semi"))
+    return clear.unionByName(hit.join(gone, same(hit), "left_anti")).drop("_q_hash")

@@ -21,13 +21,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import join_hot, materialise, new_path
+from ._common import MOST_BROADCAST, join_hot, materialise, new_path, without
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files whose rows are taken in by a round, about.
 FILES_PER_ROUND = 4096
-#: Repeated digests that are broadcast, at most: 8 bytes each in the tasks' hash table.
-MOST_BROADCAST = 1_000_000
 #: Plans whose rows are rows of files, one for one.
 _OF_FILES = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
@@ -169,10 +167,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     marked = materialise(mark(df, id_col, text_col), "dedup-marks")
     gone = marked.where("not kept").select(F.col("doc_id").alias("_q_id"), F.col("text_sha256").alias("_q_digest"), (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("_q_twin")).distinct()
+    gone = materialise(gone, "dedup-gone")
     rows = df.withColumn("_q_text_digest", digest_of(F.coalesce(df[f"`{text_col}`"], F.lit(""))))
     same = rows[f"`{id_col}`"].eqNullSafe(gone["_q_id"]) & (rows["_q_text_digest"] == gone["_q_digest"])
     twins = gone.where("_q_twin")
-    left = rows.join(gone, same, "left_anti")
+    left = without(rows, gone, {id_col: "_q_id", "_q_text_digest": "_q_digest"})
     if not twins.isEmpty():  # rows that share id and text: one of them
         one = Window.partitionBy(F.col(f"`{id_col}`"), "_q_text_digest").orderBy("_q_text_digest")
         left = left.unionByName(rows.join(twins, same, "left_semi").withColumn("_q_k", F.row_number().over(one)).where("_q_k = 1").drop("_q_k"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import join_hot, materialise, pick
+from ._common import join_hot, materialise, pick, without
 from .components import components
 from .hashing import chunks, mix, shingle_sets
 
@@ -341,9 +341,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     """One row of each component, with the columns it came with; of rows that share an id, the one whose text has the least
     hash. Rows without an id, and those with empty sets, stay; an empty table gives none."""
     gone = materialise(near_components(df, id_col, text_col, percent), "near-marks").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min("kept").alias("_kept")).where("doc_id is not null and (not _kept or _n > 1)")
+    gone = materialise(gone, "near-gone")
     repeated = gone.where("_kept")
     key = F.col(f"`{id_col}`")
-    left = df.join(gone.select(F.col("doc_id").alias("_q_id")), key == F.col("_q_id"), "left_anti")
+    left = without(df, gone.select(F.col("doc_id").alias("_q_id")), {id_col: "_q_id"})
     if repeated.isEmpty():
         return left
     one = Window.partitionBy(key).orderBy(F.xxhash64(F.col(f"`{text_col}`")))
