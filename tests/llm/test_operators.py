@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from quadrille.llm import bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_model, quality_rules, secrets, substring_dedup
+from quadrille.llm import _common, bpe, exact_dedup, html_text, language_id, near_dedup, packing, quality_model, quality_rules, secrets, substring_dedup
 
 DATA = "/root/testdata/sf0.001"
 ODD = [(-1, None), (-2, ""), (-3, "a"), (-3, "a"), (None, "b c"), (-4, " \n\t "), (-5, "A b\x0bc\x1cd Σ é <|endoftext|> '"), (-6, "x" * 5000), (-7, "w " * 3000)]
@@ -430,3 +430,14 @@ def test_pipeline_by_brute_force(spark):
             part = ids[at : at + 2048]
             want[(d, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
     assert Counter(tuple(r)[:5] for r in C.run(spark, DATA).collect()) == want
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_without(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(_common, "MOST_BROADCAST", most)
+    rows = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (None, "a", "y"), (2, None, "z"), (2, None, "z"), (3, "c", None)], "id long, `k.1` string, _short string")
+    spark.createDataFrame([(1, "a"), (None, "a"), (2, "a")], "i long, k string").write.parquet(path := str(tmp_path / "gone"))
+    left = _common.without(rows, spark.read.parquet(path), {"id": "i", "k.1": "k"})
+    assert left.columns == rows.columns
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, [(1, "b", "x"), (2, None, "z"), (2, None, "z"), (3, "c", None)]))
+    assert _common.without(rows, spark.read.parquet(path).where("false"), {"id": "i"}).count() == 6
