@@ -111,3 +111,14 @@ def without(rows: DataFrame, gone: DataFrame, on: dict[str, str]) -> DataFrame:
     rows = rows.withColumn("_q_hash", F.xxhash64(*[F.col(f"`{mine}`") for mine in on]))
     clear, hit = (rows.join(short, rows["_q_hash"] == short["_q_short"], how) for how in ("left_anti", "left_semi"))
     return clear.unionByName(hit.join(gone, same(hit), "left_anti")).drop("_q_hash")
+
+
+def near(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is in `wanted`, a written table of distinct keys in one column; chance hits of the hash may come along.
+
+    Up to MOST_BROADCAST keys are broadcast as 64-bit hashes, so that the rows stay where they are; more go through a shuffle.
+    """
+    if wanted.count() > MOST_BROADCAST:
+        return rows.join(wanted.toDF(key), key, "left_semi")
+    short = F.broadcast(wanted.select(F.xxhash64(wanted.columns[0]).alias("_q_short")))
+    return rows.join(short, F.xxhash64(rows[key]) == short["_q_short"], "left_semi")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import join_hot, materialise, pick, without
+from ._common import join_hot, materialise, near, pick, without
 from .components import components
 from .hashing import chunks, mix, shingle_sets
 
@@ -191,7 +191,8 @@ def signatures(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH, pe
 
 
 def sets_of(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(node, shingles, registers) of the documents that are nodes."""
+    """(node, shingles, registers) of the documents that are nodes; a chance hit of an id's hash may add others, which the joins
+    with nodes leave out."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +203,7 @@ def sets_of(df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(part)), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([r.tobytes() for r in sketch(sets)], pa.binary())], names=["node", "shingles", "registers"])
                 row += len(part)
 
-    texts = pick(df, node=id_col, text=text_col).join(nodes.select("node").distinct(), "node", "left_semi")
+    texts = near(pick(df, node=id_col, text=text_col), "node", materialise(nodes.select("node").distinct(), "near-wanted"))
     return texts.mapInArrow(run, f"node {kind}, shingles binary, registers binary")
 
 
@@ -213,7 +214,8 @@ def buckets(nodes: DataFrame) -> DataFrame:
     shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("n")).where("least != most")
     shared = materialise(shared, "near-shared")
     two = shared.where("n = 2").select(F.explode(F.array("least", "most")).alias("node"), "band", "least")
-    many = join_hot(keys, shared.where("n > 2").drop("most"), ["band"], "n").select("node", "band", "least")
+    more = shared.where("n > 2").drop("most")
+    many = join_hot(near(keys, "band", more.select("band")), more, ["band"], "n").select("node", "band", "least")
     return materialise(two.unionByName(many), "near-buckets")
 
 
