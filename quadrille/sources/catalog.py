@@ -25,10 +25,13 @@ class Server:
     query_param: str = "query"
     custom: str | None = None
     http_proxy: str | None = None
+    https_proxy: str | None = None
     connect_timeout: int = 300
     request_timeout: int = 0
     connect_retry: int = 3
     request_redirect: bool = False
+    request_max_redirect: int = 10
+    max_response_size: int = 0
     enable_pushdown: bool = True
     readonly: bool = False
     batch_size: int = 50
@@ -39,8 +42,8 @@ class Server:
     def __post_init__(self):
         if not re.match(r"https?://", self.endpoint):
             raise ValueError("endpoint must be an http or https URL")
-        if min(self.connect_timeout, self.request_timeout, self.connect_retry) < 0 or min(self.batch_size, self.fetch_size) < 1:
-            raise ValueError("timeouts and retries must be 0 or more, sizes 1 or more")
+        if min(self.connect_timeout, self.request_timeout, self.connect_retry, self.request_max_redirect, self.max_response_size) < 0 or min(self.batch_size, self.fetch_size) < 1:
+            raise ValueError("timeouts, retries, redirects and max_response_size must be 0 or more, other sizes 1 or more")
 
 
 @dataclass(frozen=True)
@@ -48,6 +51,8 @@ class User:
     user: str | None = None
     password: str | None = None
     token: str | None = None
+    proxy_user: str | None = None
+    proxy_user_password: str | None = None
 
 
 @dataclass(frozen=True)

@@ -5,21 +5,23 @@
 
 A query is one partition, since an endpoint answers it as one document; `pages` splits it into that many with OFFSET and
 LIMIT (`page_size` rows each, and the query must have an ORDER BY); the last one's task goes on page by page to an empty one. Documents are parsed as they arrive.
+With `push_filters` (and spark.sql.python.filterPushdown.enabled) filters on columns go to the endpoint too.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 
 from pyspark.sql import Row
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, IsNotNull, Not, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from ..operators.update import BATCH, check_pattern, statements
@@ -31,6 +33,10 @@ XML_LANG = "{http://www.w3.org/XML/1998/namespace}lang"
 STATUS = {400: "bad request: the endpoint can't read the query", 401: "unauthorized: check user and password", 403: "forbidden", 404: "not found: check the endpoint's URL", 406: "not acceptable: check the format", 407: "proxy authentication required", 429: "too many requests", 500: "internal error of the endpoint", 503: "service unavailable"}
 
 
+#: Where a filter at the end of the group would count before something else does, or not be in its scope.
+OWN_GROUP = re.compile(r"\b(?:GROUP\s+BY|ORDER\s+BY|LIMIT|OFFSET|MINUS|UNION|HAVING|SERVICE|CONSTRUCT|ASK)\b", re.I)
+
+
 class EndpointError(RuntimeError):
     pass
 
@@ -90,14 +96,18 @@ def request(options: dict[str, str], form: dict[str, str], accept: str, endpoint
         ask.add_header("Authorization", f"Bearer {options['token']}")
     elif options.get("user"):
         ask.add_header("Authorization", "Basic " + base64.b64encode(f"{options['user']}:{options.get('password', '')}".encode()).decode())
-    if options.get("http_proxy"):
-        ask.set_proxy(options["http_proxy"].split("://")[-1], "http")
-    tries = int(options.get("connect_retry", 3)) + 1
+    if proxy := options.get("https_proxy" if url.startswith("https:") else "http_proxy") or options.get("http_proxy"):
+        ask.set_proxy(proxy.split("://")[-1].rstrip("/"), "http")
+        if options.get("proxy_user"):
+            ask.add_header("Proxy-Authorization", "Basic " + base64.b64encode(f"{options['proxy_user']}:{options.get('proxy_user_password', '')}".encode()).decode())
+    opener = urllib.request.build_opener(_Redirects(str(options.get("request_redirect", "false")).lower() == "true", int(options.get("request_max_redirect", 10))))
+    tries, whole = int(options.get("connect_retry", 3)) + 1, float(options.get("request_timeout", 0))
     for k in range(tries):
         try:
-            return urllib.request.urlopen(ask, timeout=float(options.get("connect_timeout", 300)))
+            answer = opener.open(ask, timeout=min(float(options.get("connect_timeout", 300)) or 300, whole or 1e9))
+            return Answer(answer, url, whole, int(options.get("max_response_size", 0)))
         except urllib.error.HTTPError as e:
-            raise EndpointError(f"{url}: {e.code}, {STATUS.get(e.code, 'error')}") from None
+            raise EndpointError(f"{url}: {e.code}, {STATUS.get(e.code, 'a redirect that is not followed' if 300 <= e.code < 400 else 'error')}") from None
         except (urllib.error.URLError, OSError) as e:
             if k == tries - 1:
                 raise EndpointError(f"{url}: no answer after {tries} tries ({e})") from None
@@ -105,6 +115,82 @@ def request(options: dict[str, str], form: dict[str, str], accept: str, endpoint
     raise AssertionError
 
 
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    """Follows with the same form, if at all; credentials stay with the host they are for."""
+
+    def __init__(self, follow: bool, most: int):
+        self.follow, self.max_redirections = follow, most
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        if not self.follow:
+            return None
+        kept = {k: v for k, v in req.header_items() if k.lower() != "content-length" and (k.lower() != "authorization" or urllib.parse.urlsplit(newurl).netloc == urllib.parse.urlsplit(req.full_url).netloc)}
+        return urllib.request.Request(newurl, req.data, kept, origin_req_host=req.origin_req_host, unverifiable=True)
+
+
+class Answer:
+    """A response's bytes, read up to a time (seconds from now; 0: none) and a size (bytes; 0: none)."""
+
+    def __init__(self, body: BinaryIO, url: str, seconds: float, most: int):
+        self.body, self.url, self.seconds, self.most = body, url, seconds, most
+        self.end, self.got = time.monotonic() + seconds, 0
+
+    def read(self, n: int = -1) -> bytes:
+        if self.seconds and time.monotonic() > self.end:
+            raise EndpointError(f"{self.url}: longer than {self.seconds:g} s")
+        part = self.body.read(n)
+        self.got += len(part)
+        if self.most and self.got > self.most:
+            raise EndpointError(f"{self.url}: more than {self.most} bytes")
+        return part
+
+    def close(self) -> None:
+        self.body.close()
+
+
+def _lexical(term: object) -> str | None:
+    """A term's lexical form or IRI as a literal; None for blank nodes, for what isn't a term, and for texts with line
+    ends, which documents may change."""
+    if not isinstance(term, str) or re.search(r"[\r\n]", term):
+        return None
+    if m := re.fullmatch(r"<([^<>\"\\]*)>", term):
+        return f'"{m[1]}"'
+    m = re.fullmatch(r'("(?:[^"\\]|\\.)*")(?:@[A-Za-z0-9-]+|\^\^<[^<>]*>)?', term)
+    return m and m[1]
+
+
+def condition(f: Filter, names: dict[str, str]) -> str | None:
+    """A SPARQL condition that is true wherever the filter on a column's terms is; None if there is none."""
+    if isinstance(f, Not) or len(f.attribute) != 1 or f.attribute[0] not in names:
+        return None
+    var = f"?{names[f.attribute[0]]}"
+    if isinstance(f, IsNotNull):
+        return f"BOUND({var})"
+    if isinstance(f, EqualTo) and (text := _lexical(f.value)):
+        return f"STR({var}) = {text}"
+    if isinstance(f, In) and f.value and all(texts := [_lexical(v) for v in f.value]):
+        return f"STR({var}) IN ({', '.join(texts)})"
+    if isinstance(f, StringStartsWith) and (m := re.fullmatch(r"([<\"])([^<>\"\\\r\n]+)", f.value)):
+        return ("isIRI" if m[1] == "<" else "isLITERAL") + f"({var}) && STRSTARTS(STR({var}), \"{m[2]}\")"
+    return None
+
+
+def with_conditions(query: str, conditions: list[str]) -> str:
+    """The query with filters at the end of its group. Unchanged where they'd mean something else there: in what can't be
+    rewritten, with anything behind the group, and for variables that the group doesn't have or the head gives."""
+    bare = re.sub(r'"(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\'|<[^<>\s]*>|#[^\n]*', lambda m: " " * len(m[0]), query)
+    if "{" not in bare or len(re.findall(r"\bSELECT\b", bare, re.I)) != 1 or OWN_GROUP.search(bare) or not bare.rstrip().endswith("}"):
+        return query
+    start, end, depth = bare.index("{"), bare.rindex("}"), 0
+    for k in range(start, end):  # the group must be the one that ends last
+        depth += {"{": 1, "}": -1}.get(bare[k], 0)
+        if not depth:
+            return query
+    inside = set(re.findall(r"[?$](\w+)", bare[start:end])) - set(re.findall(r"\bAS\s+[?$](\w+)", bare[:start], re.I))
+    said = [c for c in conditions if re.search(r"\?(\w+)", c)[1] in inside]
+    return query[:end] + "".join(f"\n FILTER({c})" for c in said) + "\n" + query[end:] if said else query
+
+
 class Page(InputPartition):
     def __init__(self, query: str, offset: int | None = None, size: int = 0, last: bool = True):
         self.query, self.offset, self.size, self.last = query, offset, size, last
@@ -153,6 +239,19 @@ class SparqlReader(DataSourceReader):
             yield tuple(row.get(n) for n in names)
 
 
+class FilteringReader(SparqlReader):
+    """For sessions with spark.sql.python.filterPushdown.enabled; Spark refuses such a reader in others."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Conditions on the terms' texts go to the endpoint as ones on lexical forms that let at least the same rows
+        through; Spark checks every filter again."""
+        names = {f.name: self.options.get(f"variable.{f.name}".lower(), f.name).lstrip("?$") for f in self.schema}
+        if self.options.get("query_type", "select") != "describe":
+            said = [c for f in filters if (c := condition(f, names))]
+            self.options["query"] = with_conditions(self.options["query"], said)
+        return filters
+
+
 class SparqlWriter(DataSourceWriter):
     """Batches of updates from each task. Not transactional: a task that is run again repeats its (idempotent) statements."""
 
@@ -185,7 +284,8 @@ class SparqlSource(DataSource):
         return "subject string, predicate string, object string"
 
     def reader(self, schema: StructType) -> SparqlReader:
-        return SparqlReader(self.options, schema)
+        push = str(self.options.get("push_filters", "false")).lower() == "true"
+        return (FilteringReader if push else SparqlReader)(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> SparqlWriter:
         return SparqlWriter(self.options, schema)
